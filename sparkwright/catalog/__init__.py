@@ -1,4 +1,4 @@
 """All registered queries.  Importing this package fills ``REGISTRY``."""
 
 from .registry import REGISTRY, Entry, query  # noqa: F401
-from . import weather_jobs, relational  # noqa: F401
+from . import weather_jobs, relational, rows_and_order  # noqa: F401
