@@ -61,14 +61,14 @@ def sequence_file(df: DataFrame, key: str, value: str, path: str,
 
 
 def by_key(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet",
-           mode: str = "errorifexists") -> None:
+           mode: str = "errorifexists", files_per_key: int = 4) -> None:
     """One output directory per key value (``key=value/``).
 
     Rows are first shuffled on the keys plus a spread column so each key's
-    rows go to a bounded number of writers: a hot key is written by several
-    tasks instead of one, and no task holds many open files.
+    rows go to ``files_per_key`` writers: a hot key is written by several
+    tasks instead of one, and each task holds few open files.
     """
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(8))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_key))
     out = df.repartition(*[F.col(k) for k in keys], spread)
     out.write.mode(mode).partitionBy(*keys).format(fmt).save(path)
 
