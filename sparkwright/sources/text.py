@@ -189,7 +189,7 @@ def date_in_path(pattern: str = r"(\d{4})/(\d{2})/(\d{2})") -> Column:
     p = F.col("_metadata.file_path")
     return F.try_to_date(F.concat_ws("-", F.regexp_extract(p, pattern, 1),
                                      F.regexp_extract(p, pattern, 2),
-                                     F.regexp_extract(p, pattern, 3)), F.lit("yyyy-MM-dd"))
+                                     F.regexp_extract(p, pattern, 3)), "yyyy-MM-dd")
 
 
 def date_range_filter(df: DataFrame, start: str, end: str) -> DataFrame:
