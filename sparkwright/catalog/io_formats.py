@@ -148,7 +148,7 @@ def _doc_lines_path(spark, sf):
     d = table(spark, sf, "documents").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     path = scratch_path(spark, "doclines")
-    (d.repartition(8, "doc_id").sortWithinPartitions("doc_id", "line_no")
+    (d.repartition("doc_id").sortWithinPartitions("doc_id", "line_no")
      .select(F.concat_ws("\t", F.col("doc_id").cast("string"), F.col("line_no").cast("string"),
                          "line").alias("value"))
      .write.text(path))
@@ -215,7 +215,7 @@ def _by_date_path(spark, sf):
         F.date_format("l_shipdate", "yyyy").alias("y"), F.date_format("l_shipdate", "MM").alias("m"),
         F.date_format("l_shipdate", "dd").alias("d"))
     path = scratch_path(spark, "bydate")
-    K.by_key(li, path, ["y", "m"], files_per_key=1)
+    K.by_key(li, path, ["y", "m"])
     return path
 
 
@@ -370,7 +370,7 @@ def small_file_compaction(spark, sf):
     (table(spark, sf, "pages").select(F.regexp_replace("html", "\n", " ").alias("value"))
      .repartition(32).write.text(src))
     out = scratch_path(spark, "packed")
-    K.compact(spark, src + "/*.txt", out, files=2)
+    K.compact(spark, src + "/*.txt", out)
     packed = spark.read.parquet(out)
     lines = F.filter(F.split(F.col("content").cast("string"), "\n"), lambda x: x != "")
     return packed.agg(F.sum(F.size(lines)).cast("long").alias("pages"),

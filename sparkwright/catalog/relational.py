@@ -164,7 +164,7 @@ def key_lookup(spark, sf):
     path = scratch_path(spark, "lookup")
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber",
                                              "l_extendedprice")
-    sorted_lookup_file(li, "l_suppkey", path, buckets=8)
+    sorted_lookup_file(li, "l_suppkey", path)
     keys = table(spark, sf, "supplier").where(F.col("s_acctbal") < 0).select(
         F.col("s_suppkey").alias("l_suppkey"))
     return J.keys_lookup(spark.read.parquet(path), keys, "l_suppkey")

@@ -175,7 +175,7 @@ def distribute_sort(spark, sf):
 def hash_sort(spark, sf):
     li = table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("temperature"),
                                              "l_orderkey", "l_linenumber")
-    return O.distribute_sort(li, ["temperature"], ["temperature"], partitions=8)
+    return O.distribute_sort(li, ["temperature"], ["temperature"])
 
 
 @query("total_sort", "SELECT l_extendedprice AS temperature, l_orderkey, l_linenumber FROM lineitem",
@@ -183,7 +183,7 @@ def hash_sort(spark, sf):
 def total_sort(spark, sf):
     li = table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("temperature"),
                                              "l_orderkey", "l_linenumber")
-    return O.total_sort(li, ["temperature"], partitions=8)
+    return O.total_sort(li, ["temperature"])
 
 
 @query("range_balance", None, "O06")

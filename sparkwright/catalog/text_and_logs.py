@@ -178,7 +178,7 @@ def _keyed_events(spark, sf):
                  F.lpad(X.reverse_time_key("ts").cast("string"), 19, "0")).alias("row_key"),
         "user_id", "ts", "value")
     path = scratch_path(spark, "keyed")
-    keyed_table(rows, ["row_key"], path, partitions=8)
+    keyed_table(rows, ["row_key"], path)
     return spark.read.parquet(path)
 
 

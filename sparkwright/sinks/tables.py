@@ -100,22 +100,36 @@ def list_partitions(spark: SparkSession, path: str, keys: list[str]) -> DataFram
                                       for k in keys]).alias("partition")))
 
 
-def compact(spark: SparkSession, src_glob: str, path: str, files: int) -> None:
-    """Small-file compaction: (file name, bytes) records into few files."""
-    (spark.read.format("binaryFile").load(src_glob)
-     .select(F.col("path").alias("file"), F.col("content"))
+def compact(spark: SparkSession, src_glob: str, path: str,
+            target_bytes: int = 128 * 1024 * 1024, files: int | None = None) -> int:
+    """Small-file compaction: (file name, bytes) records into few files.
+
+    The output file count is total input bytes / ``target_bytes`` (read from
+    file metadata, no content scanned) unless ``files`` is given.  Returns
+    the number of output files asked for.
+    """
+    src = spark.read.format("binaryFile").load(src_glob)
+    if files is None:
+        total = src.agg(F.sum("length")).first()[0] or 0
+        files = max(1, -(-total // target_bytes))
+    (src.select(F.col("path").alias("file"), F.col("content"))
      .repartition(files, "file").write.parquet(path))
+    return files
 
 
-def sorted_lookup_file(df: DataFrame, key: str, path: str, buckets: int) -> None:
+def sorted_lookup_file(df: DataFrame, key: str, path: str, buckets: int | None = None) -> None:
     """Key-hashed, key-sorted files: a point lookup reads one bucket's row groups."""
-    (df.repartition(buckets, key).sortWithinPartitions(key)
+    out = df.repartition(buckets, key) if buckets else df.repartition(key)
+    (out.sortWithinPartitions(key)
      .write.option("parquet.block.size", 8 * 1024 * 1024).parquet(path))
 
 
-def keyed_table(df: DataFrame, key_cols: list[str], path: str, partitions: int) -> None:
+def keyed_table(df: DataFrame, key_cols: list[str], path: str,
+                partitions: int | None = None) -> None:
     """Range-partitioned, key-sorted table (wide-column store layout)."""
-    df.repartitionByRange(partitions, *key_cols).sortWithinPartitions(*key_cols).write.parquet(path)
+    out = (df.repartitionByRange(partitions, *key_cols) if partitions
+           else df.repartitionByRange(*key_cols))
+    out.sortWithinPartitions(*key_cols).write.parquet(path)
 
 
 def multi_insert(src: DataFrame, outputs: Mapping[str, DataFrame],
