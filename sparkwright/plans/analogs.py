@@ -27,7 +27,8 @@ def lineitem_readings(lineitem: DataFrame) -> DataFrame:
         F.year("l_shipdate").alias("year"),
         F.col("l_extendedprice").alias("temperature"),
         F.col("l_linenumber").alias("quality"),
-        (F.col("l_quantity") == MISSING_QUANTITY).alias("missing"),
+        # null-safe (never null), so filters on it push down to the scan
+        F.col("l_quantity").eqNullSafe(MISSING_QUANTITY).alias("missing"),
     )
 
 
