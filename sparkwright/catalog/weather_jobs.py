@@ -220,3 +220,87 @@ def side_count(spark, sf):
     rows = result.cache()
     rows.count()  # one action fills the observation and the cache
     return rows.withColumn("rejected", F.lit(obs.get["rejected"]).cast("long"))
+
+
+# --- two differently formatted sources, unioned ---------------------------------
+
+def _climate_text(spark, sf):
+    """Orders rendered as monthly climate lines: year, month, tmax with one
+    decimal (tenths = floor(total price / 1000)); status 'P' is missing."""
+    from ..session import scratch_path
+    o = table(spark, sf, "orders")
+    tenths = F.floor(F.col("o_totalprice") / 1000).cast("long")
+    tmax = F.when(F.col("o_orderstatus") == "P", F.lit("---")).otherwise(
+        F.concat((tenths / 10).cast("long").cast("string"), F.lit("."), (tenths % 10).cast("string")))
+    line = F.concat(F.lit("   "), F.year("o_orderdate").cast("string"),
+                    F.lpad(F.month("o_orderdate").cast("string"), 4, " "), F.lit("  "),
+                    F.lpad(tmax, 5, " "), F.lit("     2.0       6   104.6"))
+    path = scratch_path(spark, "climate")
+    o.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("multi_source_max", f"""
+WITH a AS (SELECT CAST(year(l_shipdate) AS INT) AS year,
+                  CAST(floor(l_extendedprice / 100) AS INT) - 500 AS temperature
+           FROM lineitem WHERE {VALID_SQL}),
+     b AS (SELECT CAST(year(o_orderdate) AS INT) AS year,
+                  CAST(floor(o_totalprice / 1000) AS INT) AS temperature
+           FROM orders WHERE o_orderstatus <> 'P')
+SELECT year, max(temperature) AS max_temperature FROM (SELECT * FROM a UNION ALL SELECT * FROM b)
+GROUP BY 1""", "U03 S05 S01 F19")
+def multi_source_max(spark, sf):
+    """Fixed-width readings and monthly climate lines parsed by their own
+    readers, unioned, then max per year."""
+    from ..sources.weather import parse_metoffice, parse_ncdc
+    from .io_formats import _ncdc_text
+    ncdc = parse_ncdc(spark.read.text(_ncdc_text(spark, sf))).where("valid").select(
+        "year", "temperature")
+    climate = parse_metoffice(spark.read.text(_climate_text(spark, sf))).select(
+        F.col("year").cast("int").alias("year"), "temperature")
+    return ncdc.unionByName(climate).groupBy("year").agg(
+        F.max("temperature").alias("max_temperature"))
+
+
+# --- small collection operations -----------------------------------------------
+
+@query("group_by_length", """
+SELECT CAST(length(p_name) AS INT) AS name_length, count(*) AS n FROM part GROUP BY 1""",
+       "A06 F06 A22")
+def group_by_length(spark, sf):
+    p = table(spark, sf, "part")
+    return p.groupBy(F.length("p_name").alias("name_length")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("collection_stats", """
+SELECT count(c_name) AS n, min(c_name) AS lowest, max(c_name) AS highest FROM customer""", "A23")
+def collection_stats(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.agg(F.count("c_name").alias("n"), F.min("c_name").alias("lowest"),
+                 F.max("c_name").alias("highest"))
+
+
+@query("element_counts", """
+SELECT c_mktsegment AS value, count(*) AS n FROM customer GROUP BY 1""", "A24")
+def element_counts(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.groupBy(F.col("c_mktsegment").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sum_by_key", """
+SELECT o_orderpriority AS key, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total,
+       count(*) AS n
+FROM orders GROUP BY 1""", "A25")
+def sum_by_key(spark, sf):
+    """reduceByKey(+) / foldByKey(0)(+): an exact (decimal) sum per key."""
+    o = table(spark, sf, "orders")
+    return o.groupBy(F.col("o_orderpriority").alias("key")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("global_sum", """
+SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM orders""", "A26")
+def global_sum(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
