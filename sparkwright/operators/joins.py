@@ -70,8 +70,15 @@ def map_lookup(col, mapping: dict) -> Column:
     return m[F.col(col) if isinstance(col, str) else col]
 
 
-def cross(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Cartesian product (CROSS A, B); only for inputs with a known bound."""
+def cross(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Cartesian product (CROSS A, B), allowed only for bounded inputs.
+
+    The output has |left| x |right| rows, so both sides must prove a row
+    bound first; otherwise this raises instead of planning a product that
+    grows with the square of the data.
+    """
+    if not (fits(left, max_rows) and fits(right, max_rows)):
+        raise ValueError(f"cross product refused: an input has more than {max_rows} rows")
     return left.crossJoin(right)
 
 

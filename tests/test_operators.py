@@ -186,3 +186,20 @@ def test_pagerank_golden(spark):
     assert abs(delta - 0.0048) <= 0.001 and rounds == 5
     scores = {r.page[4]: round(r.score, 4) for r in pages.collect()}
     assert scores == {"A": 0.9922, "B": 1.4263, "C": 0.7485, "D": 1.3535, "E": 0.9795, "F": 0.5}
+
+
+def test_cross_needs_bounded_inputs(spark):
+    from sparkwright.sources.containers import from_values
+    a = from_values(spark, [(1,), (2,)], "x int")
+    b = from_values(spark, [("p",), ("q",), ("r",)], "y string")
+    assert J.cross(a, b).count() == 6
+    with pytest.raises(ValueError):
+        J.cross(spark.range(20), b, max_rows=10)
+
+
+def test_checked_broadcast(spark):
+    small = spark.range(5)
+    big = spark.range(100)
+    assert J.fits(small, 5) and not J.fits(big, 5)
+    plan = big.join(J.checked_broadcast(small, 10), "id")._jdf.queryExecution().toString()
+    assert "Broadcast" in plan

@@ -68,3 +68,31 @@ def test_fanout_optional_failure_ignored(spark, tmp_path):
     ignored = T.run_fanout(s, required, [broken], checkpoint=str(tmp_path / "ck"))
     assert len(ignored) == 3
     assert spark.read.text(req).count() == 3
+
+
+def test_compaction_sized_from_metadata(spark, tmp_path):
+    src = tmp_path / "small"
+    src.mkdir()
+    for c in "abcde":
+        (src / c).write_bytes(bytes([ord(c)]) * 10)
+    out = str(tmp_path / "packed")
+    n = K.compact(spark, str(src) + "/*", out, target_bytes=25)
+    assert n == 2
+    packed = spark.read.parquet(out)
+    assert packed.count() == 5 and packed.agg(F.sum(F.length("content"))).first()[0] == 50
+
+
+def test_by_key_folders(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "station string, t int")
+    out = str(tmp_path / "by")
+    K.by_key(df, out, ["station"])
+    assert sorted(p.name for p in (tmp_path / "by").iterdir() if p.is_dir()) == [
+        "station=a", "station=b"]
+    assert spark.read.parquet(out).where("station = 'a'").count() == 2
+
+
+def test_print_stream_runs(spark, tmp_path, capsys):
+    src = tmp_path / "spool"
+    src.mkdir()
+    (src / "a.txt").write_text("hello\n")
+    T.print_stream(T.spool_source(spark, str(src)).select("value"))
