@@ -107,3 +107,12 @@ def test_globs_and_path_filters(spark, tmp_path):
         "2007/12/30", "2008/01/01", "2008/01/02"]
     assert rows(S.date_range_filter(all_files, "2007/12/31".replace("/", "-"), "2008-01-01")) == [
         "2007/12/31", "2008/01/01"]
+
+
+def test_row_index_contiguous_across_partitions(spark, tmp_text):
+    df = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "v")
+    idx = S.with_row_index(df).collect()
+    assert sorted(r.row_index for r in idx) == list(range(1000))
+    assert all(r.row_index == r.v for r in idx)  # range keeps read order
+    lines = S.with_row_index(spark.read.text(tmp_text(POEM))).orderBy("row_index").collect()
+    assert [r.value for r in lines] == POEM
