@@ -58,3 +58,39 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_array_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repetition import quality
+    return quality(table(spark, sf_dir, "documents"))
+
+
+@query("op6_prefix_join_decontamination", r"""
+WITH dw AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, p, p + least(10, len(w)) - 1), ' ') AS k
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS p FROM iw WHERE len(w) > 0)),
+hits AS (
+  SELECT DISTINCT rid, p, n, item_id
+  FROM (SELECT rid, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS k
+        FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM dw, (SELECT DISTINCT n FROM win))) d
+  JOIN win USING (n, k)),
+words AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM hits) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS l
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

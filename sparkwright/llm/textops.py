@@ -30,7 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
-_POWERS = {"n": 0}
+_POWERS = {"n": -1}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
