@@ -94,3 +94,9 @@ FROM dw LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_bloom_lm_scores")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import score
+    return score(table(spark, sf_dir, "documents"))
