@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import numbered
 from .textops import Batch, chunks, doc_ids, gram_hashes
 
 SHINGLE = 3
@@ -132,7 +133,7 @@ def contaminated_spans(documents: DataFrame, benchmark: DataFrame, window: int =
                        max_bytes: int = 4 << 20) -> DataFrame:
     """Per document: words, first and end word of each occurrence, and the items that occur."""
     spark = documents.sparkSession
-    docs = documents.selectExpr("monotonically_increasing_id() row", "cast(doc_id as long) doc_id", "text")
+    docs = numbered(documents, F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.selectExpr("cast(item_id as string) item_id", "text").where("item_id is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_slices = max(1, -(-size // max_bytes))

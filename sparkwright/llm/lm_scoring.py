@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.session import shared_dir
 
+from .rows import numbered
 from .textops import U64, Batch, chunks, doc_ids, mix
 
 END = U64(0x5851F42D4C957F2D)
@@ -202,8 +203,8 @@ def merge_bucket(t: pa.Table) -> pa.Table:
 
 def with_split(documents: DataFrame, fold: int, of: int) -> DataFrame:
     rest = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % of
-    return documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                            "text", F.coalesce(rest == fold, F.lit(False)).alias("held_out"))
+    return numbered(documents, F.col("doc_id").cast("long").alias("doc_id"), "text",
+                    F.coalesce(rest == fold, F.lit(False)).alias("held_out"))
 
 
 def score(documents: DataFrame, fold: int = 2, of: int = 7, strength: float = 300.0,

@@ -100,3 +100,26 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_scoring import score
     return score(table(spark, sf_dir, "documents"))
+
+
+@query("op8_lempel_ziv_dedup", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+win AS (
+  SELECT rid, p, array_to_string(list_slice(w, p, p + 34), ' ') AS k
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+dup AS (SELECT rid, p FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+rem AS (SELECT DISTINCT rid, unnest(range(p, p + 35)) AS q FROM dup),
+words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS q FROM d),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY q) AS t, count(*) AS n
+  FROM words ANTI JOIN rem USING (rid, q) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+    return (remove_repeats(table(spark, sf_dir, "documents"))
+            .selectExpr("doc_id", "n_words", "n_removed", "sha2(kept, 256) kept_sha256"))
