@@ -123,3 +123,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
     return (remove_repeats(table(spark, sf_dir, "documents"))
             .selectExpr("doc_id", "n_words", "n_removed", "sha2(kept, 256) kept_sha256"))
+
+
+@query("op9_grouped_prefix_jaccard", r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(list_slice(w, p, p + 3), ' ') AS k
+  FROM (SELECT rid, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+o AS (SELECT a.rid AS x, b.rid AS y, count(*) AS o FROM s a JOIN s b USING (k) GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM o JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * o >= 85 * (a.n + b.n - o)),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT r.x AS rid, min(doc_id) AS component_id FROM r JOIN d ON d.rid = r.y GROUP BY r.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n > 0 THEN component_id ELSE doc_id END AS component_id
+FROM d LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
