@@ -145,3 +145,9 @@ FROM d LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_recurrent_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
