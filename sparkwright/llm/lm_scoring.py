@@ -40,9 +40,9 @@ from .textops import U64, Batch, chunks, doc_ids, mix
 END = U64(0x5851F42D4C957F2D)
 HIGH = U64(0xFFFF) << U64(48)
 BASE, HASHES, BITS = 1.5, 5, 8
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
 PARTS = "bucket int, kind int, keys binary, counts binary"
-TABLE = "bucket int, words binary, counts binary, width int, n_words long, n_tokens long, filter binary"
+TABLE = "bucket int, words binary, counts binary, large binary, n_words long, n_tokens long, filter binary"
 SCORES = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -99,7 +99,9 @@ class Slice:
         self.shift, self.first, self.last = shift, first, last
         rows = sorted(rows, key=lambda r: r["bucket"])
         self.words = np.concatenate([np.empty(0, U64), *(np.frombuffer(r["words"], U64) for r in rows)])
-        self.counts = np.concatenate([np.empty(0, np.uint32), *(np.frombuffer(r["counts"], f"u{r['width']}") for r in rows)])
+        self.counts = np.concatenate([np.empty(0, np.uint8), *(np.frombuffer(r["counts"], np.uint8) for r in rows)])
+        self.large = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(r["large"], np.int64) for r in rows)])
+        self.large_at = np.flatnonzero(self.counts == 255)
         parts = [np.frombuffer(r["filter"], np.uint8) for r in rows]
         self.bits = np.concatenate([np.zeros(8, np.uint8), *parts])          # eight bytes for empty buckets
         self.offset, self.size = np.zeros(last - first + 1, U64), np.full(last - first + 1, 64, U64)
@@ -117,7 +119,10 @@ class Slice:
         if not len(self.words):
             return np.zeros(len(words))
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], 0).astype(np.float64)
+        out = self.counts[at].astype(np.float64)
+        large = np.flatnonzero(out == 255)
+        out[large] = self.large[np.searchsorted(self.large_at, at[large])]
+        return np.where(self.words[at] == words, out, 0)
 
     def level(self, keys: np.ndarray, salt: int) -> np.ndarray:
         """Levels by repeated probes."""
@@ -193,12 +198,16 @@ def merge_bucket(t: pa.Table) -> pa.Table:
     orders = [_add_up([k for k, n in zip(keys, kinds) if n == kind], [c for c, n in zip(counts, kinds) if n == kind])
               for kind in (0, 1)]
     words, times = orders[0]
-    width = 4 if times.max() < 2**32 else 8
-    row = [t.column("bucket")[0].as_py(), words.tobytes(), times.astype(f"u{width}").tobytes(), width,
-           len(words), int(times.sum()), build_filter(orders).tobytes()]
-    types = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    row = [t.column("bucket")[0].as_py(), words.tobytes(), *pack_counts(times), len(words), int(times.sum()),
+           build_filter(orders).tobytes()]
+    types = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
     return pa.table([pa.array([v], ty) for v, ty in zip(row, types)],
-                    names=["bucket", "words", "counts", "width", "n_words", "n_tokens", "filter"])
+                    names=["bucket", "words", "counts", "large", "n_words", "n_tokens", "filter"])
+
+
+def pack_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """A byte for each count; 255 stands for the next one of the large counts."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype(np.int64).tobytes()
 
 
 def with_split(documents: DataFrame, fold: int, of: int) -> DataFrame:
@@ -208,17 +217,18 @@ def with_split(documents: DataFrame, fold: int, of: int) -> DataFrame:
 
 
 def score(documents: DataFrame, fold: int = 2, of: int = 7, strength: float = 300.0,
-          max_bytes: int = 96 << 20) -> DataFrame:
+          max_bytes: int = 84 << 20) -> DataFrame:
     """One row for each document; ``strength`` is K, ``max_bytes`` bounds a broadcast slice."""
     spark = documents.sparkSession
     shared_dir(spark)
     docs = with_split(documents, fold, of)
-    bits = max(4, min(16, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
+    # Four buckets for each shuffle partition, so that one is a small part of a task's memory.
+    bits = max(4, min(16, 2 + (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
     shift = 64 - bits
     model = (count_parts(docs.where("not held_out").select("text"), shift).groupBy("bucket")
              .applyInArrow(merge_bucket, TABLE).checkpoint())
     sizes = model.selectExpr("bucket", "n_words", "n_tokens",
-                             "octet_length(words) + octet_length(counts) + octet_length(filter) as bytes").collect()
+                             "octet_length(words) + octet_length(counts) + octet_length(large) + octet_length(filter) as bytes").collect()
     n, v = sum(r.n_tokens for r in sizes), sum(r.n_words for r in sizes)
     slices, room = [[0]], max_bytes          # bucket numbers at which slices begin
     for r in sorted(sizes):

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 _MULT = 0x9E3779B97F4A7C15 | 1
@@ -135,15 +136,15 @@ def byte_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 def chunks(batch: pa.RecordBatch, column: str = "text",
            size: int = CHUNK_BYTES) -> Iterator[tuple[slice, list[bytes]]]:
     """Cut an Arrow batch into runs of rows with about ``size`` bytes of text (null: empty)."""
-    texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in batch.column(column).to_pylist()]
-    at = total = 0
-    for i, t in enumerate(texts):
-        if i > at and total + len(t) > size:
-            yield slice(at, i), texts[at:i]
-            at, total = i, 0
-        total += len(t)
-    if at < len(texts):
-        yield slice(at, len(texts)), texts[at:]
+    texts = batch.column(column)
+    texts = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield slice(at, stop), [t or b"" for t in texts.slice(at, stop - at).to_pylist()]
+        at = stop
 
 
 def doc_ids(batch: pa.RecordBatch, rows: slice, column: str = "doc_id") -> pa.Array:

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from sparkwright.llm.lm_scoring import Slice, build_filter, level_values, levels_of, score
+from sparkwright.llm.lm_scoring import Slice, build_filter, level_values, levels_of, pack_counts, score
 from sparkwright.llm.textops import U64, mix
 
 
@@ -50,7 +50,7 @@ def test_levels_come_back():
     keys = mix(np.arange(len(counts), dtype=U64))
     keys.sort()
     bits = build_filter([(keys, counts), (keys, counts[::-1])])
-    row = {"bucket": 0, "words": keys.tobytes(), "counts": counts.astype("u8").tobytes(), "width": 8, "filter": bits.tobytes()}
+    row = {"bucket": 0, "words": keys.tobytes(), "counts": pack_counts(counts)[0], "large": pack_counts(counts)[1], "filter": bits.tobytes()}
     s = Slice([row], 63, 0, 1)
     low = keys[keys >> U64(63) == 0]
     assert (s.level(low, 0) >= levels_of(counts[:len(low)])).all()
