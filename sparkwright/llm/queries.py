@@ -151,3 +151,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score_toxicity
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_simhash_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+    return (dedup_lines(table(spark, sf_dir, "documents"))
+            .selectExpr("doc_id", "n_lines", "n_removed", "sha2(text, 256) kept_sha256"))
