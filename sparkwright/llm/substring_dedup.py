@@ -100,7 +100,8 @@ def reference_blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
     blocks = docs.select("row", "text").mapInArrow(run, BLOCKS)
     often = (blocks.groupBy("anchor").agg(F.count("*").alias("times"), F.min("block").alias("lo"), F.max("block").alias("hi"))
              .where("times > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("whole")))
-    return blocks.join(often, "anchor")
+    # Read back from the checkpoint, the join has a plain shuffle on both sides, whose hot partitions Spark can split.
+    return blocks.join(often.checkpoint(), "anchor")
 
 
 def _windows(window: int):
@@ -138,7 +139,8 @@ def repeated_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
     # At the boundaries: windows of one block of each kind, those of single blocks to be judged.
     asked = kinds.select("anchor", "one.row", "one.first", "one.n").groupBy("row").agg(
         F.collect_list(F.struct("anchor", "first", "n")).alias("blocks"))       # at most the document's blocks
-    windows = (docs.join(asked, "row").select("row", "text", "blocks").mapInArrow(_windows(window), WINDOWS))
+    # With the same columns as in the last join, the documents are shuffled once for both.
+    windows = docs.join(asked, "row").select("row", "doc_id", "text", "blocks").mapInArrow(_windows(window), WINDOWS)
     shared = windows.groupBy("anchor", "hash").agg(F.count("*").alias("times")).where("times > 1").select("anchor", "hash")
     edges = windows.join(shared, ["anchor", "hash"]).select("row", "first", F.lit(1).alias("n"))
     spans = whole.unionByName(edges).select("row", "first", (F.col("first") + F.col("n") - 1 + window).alias("end"))
