@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,22 +130,24 @@ def _join(batch: Batch, win: Windows, index: dict[int, tuple]) -> tuple[np.ndarr
     return tuple(np.concatenate(found, axis=1)) if found else (np.empty(0, np.int64),) * 3
 
 
-def contaminated_spans(documents: DataFrame, benchmark: DataFrame, window: int = 10,
-                       max_bytes: int = 4 << 20) -> DataFrame:
-    """Per document: words, first and end word of each occurrence, and the items that occur."""
-    spark = documents.sparkSession
-    docs = numbered(documents, F.col("doc_id").cast("long").alias("doc_id"), "text")
+def indexes(docs: DataFrame, benchmark: DataFrame, window: int, max_bytes: int) -> Iterator[Broadcast]:
+    """A broadcast index for each slice of the items; a slice has about ``max_bytes`` of text."""
     items = benchmark.selectExpr("cast(item_id as string) item_id", "text").where("item_id is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_slices = max(1, -(-size // max_bytes))
-    parts = []
     for s in range(n_slices):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_slices)) == s) if n_slices > 1 else items
-        win = Windows([(r.item_id, r.text) for r in own.collect()], window)      # of max_bytes, about
-        shared = spark.sparkContext.broadcast((win, win.index(_count(docs, win.tokens()))))
-        parts.append(docs.mapInArrow(_spans(shared), SPANS))
+        win = Windows([(r.item_id, r.text) for r in own.collect()], window)
+        yield docs.sparkSession.sparkContext.broadcast((win, win.index(_count(docs, win.tokens()))))
+
+
+def contaminated_spans(documents: DataFrame, benchmark: DataFrame, window: int = 10,
+                       max_bytes: int = 4 << 20) -> DataFrame:
+    """Per document: words, first and end word of each occurrence, and the items that occur."""
+    docs = numbered(documents, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    parts = [docs.mapInArrow(_spans(shared), SPANS) for shared in indexes(docs, benchmark, window, max_bytes)]
     out = parts[0]
-    if n_slices > 1:
+    if len(parts) > 1:
         for p in parts[1:]:
             out = out.unionByName(p)
         out = out.groupBy("row").agg(
@@ -153,6 +156,27 @@ def contaminated_spans(documents: DataFrame, benchmark: DataFrame, window: int =
     return out.drop("row")
 
 
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 10, max_bytes: int = 4 << 20) -> DataFrame:
+    """The documents, with all their columns, in which no window of the benchmark occurs."""
+
+    def clean(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            win, index = shared.value
+            for b in batches:
+                keep = []
+                for _, texts in chunks(b):
+                    keep.append(np.ones(len(texts), dtype=bool))
+                    keep[-1][_join(Batch(texts, "alnum", lower=True), win, index)[0]] = False
+                if keep:
+                    yield b.filter(pa.array(np.concatenate(keep)))
+        return run
+
+    out = documents
+    for shared in indexes(documents, benchmark, window, max_bytes):
+        out = out.mapInArrow(clean(shared), documents.schema)
+    return out
+
+
 def _spans(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         win, index = shared.value

@@ -209,3 +209,12 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     "row", F.coalesce("component", "row").alias("first_row")))
+
+
+def keep_one(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """The documents with all their columns, of each component the one with the smallest doc_id (then the first row)."""
+    docs = numbered(documents, F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("doc"))
+    found = jaccard_components(documents, size, percent)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    stay = found.groupBy("first_row").agg(F.min(order).alias("at")).select(F.col("at.row").alias("row"))
+    return docs.join(stay, "row", "left_semi").select("doc.*")
