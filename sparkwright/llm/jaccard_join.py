@@ -14,7 +14,9 @@ Two sets that reach the threshold share a token of their prefixes.
 * Then only lists whose members are in different components are left.  All their
   pairs across components that aren't verified yet are expanded to classes and
   verified: so no link between components is lost, and links inside a component
-  need not be looked at.
+  need not be looked at.  A parity bitmap of each set gives a lower bound of
+  how many members two sets don't share; pairs beyond what the threshold allows
+  are dropped inside the join, before they become rows.
 
 Verification counts the common shingles (64-bit hashes) of the two whole sets.
 Sets go through the shuffle only for classes with a candidate.
@@ -41,7 +43,8 @@ from .rows import numbered
 from .textops import U64, Batch, chunks, doc_ids, gram_hashes, mix
 
 SKETCH_BITS, SKETCH_PARTS, HUBS = 20, 64, 8
-SETS = "row long, doc_id long, n long, s1 long, s2 long, prefix array<long>"
+PARITY = 8             # longs of a set's parity bitmap
+SETS = "row long, doc_id long, n long, s1 long, s2 long, bits array<long>, prefix array<long>"
 
 
 def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +98,17 @@ def needed(n, percent: int):
     return (n * percent + 99) // 100
 
 
+def parity_bits(hashes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A bitmap for each set in which each member flips a bit; (sets, PARITY) longs."""
+    out = np.zeros((len(start) - 1, PARITY), dtype=U64)
+    some = np.flatnonzero(np.diff(start))
+    place = hashes >> U64(8)
+    bit, word = U64(1) << (place & U64(63)), (place >> U64(6)) % U64(PARITY)
+    for k in range(PARITY if len(some) else 0):
+        out[some, k] = np.bitwise_xor.reduceat(np.where(word == U64(k), bit, U64(0)), start[some])
+    return out
+
+
 def _sets(shared, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -111,6 +125,8 @@ def _sets(shared, size: int, percent: int):
                 prefix = ordered[inner < np.repeat(keep, n)].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids(b, at, "row"), doc_ids(b, at), pa.array(n, pa.int64()), pa.array(s[:, 0]), pa.array(s[:, 1]),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * PARITY, pa.int32()),
+                                              pa.array(parity_bits(hashes, start).view(np.int64).reshape(-1))),
                      pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(keep)), pa.int32()), pa.array(prefix))],
                     names=[c.split(" ")[0] for c in SETS.split(", ")])
     return run
@@ -152,6 +168,12 @@ def _possible(percent: int) -> str:
             f"{100 + percent} * (1 + least(n - pos - 1, m - at - 1)) >= {percent} * (n + m)")
 
 
+def _few_differ(a: str, b: str, n: str, m: str, percent: int) -> str:
+    """Members of one set alone flip bits: the bitmaps never differ in more bits than the sets in members."""
+    differ = " + ".join(f"bit_count({a}[{k}] ^ {b}[{k}])" for k in range(PARITY))
+    return f"{100 + percent} * ({differ}) <= {100 - percent} * ({n} + {m})"
+
+
 def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id, and ``row`` (its number in the scan)."""
     spark = documents.sparkSession
@@ -164,8 +186,9 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
     # A smaller set is linked with equal ones only.
     large = sets.where(f"100 * n >= {percent} * (n + 1)")
     groups = large.groupBy("g1", "g2").agg(F.min("row").alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    classes = (large.groupBy("s1", "s2").agg(F.min("row").alias("cls"), F.first("g1").alias("g1"), F.first("g2").alias("g2"))
-               .join(groups.select("g1", "g2", "g"), ["g1", "g2"]).select("cls", "g"))
+    classes = (large.groupBy("s1", "s2").agg(F.min("row").alias("cls"), F.first("g1").alias("g1"), F.first("g2").alias("g2"),
+                                                 F.first("bits").alias("bits"), F.first("n").alias("n"))
+               .join(groups.select("g1", "g2", "g"), ["g1", "g2"]).select("cls", "g", "n", "bits"))
     entries = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
     pick = F.struct(F.xxhash64("g", F.col("token").bitwiseAND(HUBS - 1)), "g", "n", "pos")
     hubs = (entries.groupBy("token").agg(F.count("*").alias("times"), F.min(pick).alias("hub"))
@@ -184,15 +207,15 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
 
     # What is left between components.
     named = (classes.join(label.withColumnRenamed("node", "cls"), "cls", "left")
-             .withColumn("c", F.coalesce("component", "cls")).select("cls", "g", "c").checkpoint())
-    own = lists.select("token", "g", "n", "pos").join(named, "g")
+             .withColumn("c", F.coalesce("component", "cls")).select("cls", "g", "c", "n", "bits").checkpoint())
+    own = lists.select("token", "g", "pos").join(named, "g")
     open_ = own.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-    left = own.join(open_, "token").select("token", "cls", "c", "n", "pos").checkpoint()
+    left = own.join(open_, "token").select("token", "cls", "c", "n", "pos", "bits").checkpoint()
     other = left.select(F.col("token").alias("t"), F.col("cls").alias("y"), F.col("c").alias("d"),
-                        F.col("n").alias("m"), F.col("pos").alias("at"))
-    across = left.join(other, F.expr(f"token = t and c < d and {_possible(percent)}"))
+                        F.col("n").alias("m"), F.col("pos").alias("at"), F.col("bits").alias("flips"))
+    across = left.join(other, F.expr(f"token = t and c < d and {_possible(percent)} and {_few_differ('bits', 'flips', 'n', 'm', percent)}"))
     several = named.join(many.select("g").distinct(), "g")
-    same_group = (several.alias("a").join(several.alias("b"), F.expr("a.g = b.g and a.c < b.c"))
+    same_group = (several.alias("a").join(several.alias("b"), F.expr(f"a.g = b.g and a.c < b.c and {_few_differ('a.bits', 'b.bits', 'a.n', 'b.n', percent)}"))
                   .select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")))
     rest = (across.select(F.col("cls").alias("x"), "y").unionByName(same_group)
             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()

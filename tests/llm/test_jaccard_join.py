@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 
 from sparkwright.llm.components import components
-from sparkwright.llm.jaccard_join import jaccard_components
+from sparkwright.llm.jaccard_join import jaccard_components, parity_bits
 
 
 def sets_of(docs, size):
@@ -79,3 +79,13 @@ def test_components_of_paths_and_stars(spark):
     path, star = [int(perm[i]) for i in range(201)], [int(perm[1000 + i]) for i in range(50)]
     assert got == {n: min(path) for n in path} | {n: min(star) for n in star}
     assert components(df.where("false")).count() == 0
+
+
+def test_parity_is_a_lower_bound():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        a, b = (set(rng.integers(0, 400, int(rng.integers(1, 300))).tolist()) for _ in range(2))
+        h = [np.array(sorted(s), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for s in (a, b)]
+        bits = parity_bits(np.concatenate(h), np.array([0, len(a), len(a), len(a) + len(b)]))
+        assert not bits[1].any()
+        assert sum(int(x).bit_count() for x in bits[0] ^ bits[2]) <= len(a ^ b)
