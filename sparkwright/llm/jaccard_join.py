@@ -42,8 +42,8 @@ from .components import components
 from .rows import numbered
 from .textops import U64, Batch, chunks, doc_ids, gram_hashes, mix
 
-SKETCH_BITS, SKETCH_PARTS, HUBS = 20, 64, 8
-PARITY = 8             # longs of a set's parity bitmap
+SKETCH_BITS, SKETCH_PARTS, HUBS = 20, 64, 64
+PARITY = 16            # longs of a set's parity bitmap
 SETS = "row long, doc_id long, n long, s1 long, s2 long, bits array<long>, prefix array<long>"
 
 
