@@ -69,7 +69,7 @@ def join_semi(spark, sf):
 
 @query("join_positional", """
 SELECT s.s_suppkey, s.s_name, s.s_nationkey, n.n_nationkey, n.n_name
-FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""", "J08 P05")
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""", "J08")
 def join_positional(spark, sf):
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
@@ -84,7 +84,7 @@ WITH m AS (SELECT l_suppkey, l_linenumber, max(l_extendedprice) AS max_temperatu
            GROUP BY 1, 2)
 SELECT m.l_suppkey AS usaf, m.l_linenumber AS wban, trim(s.s_name) AS station_name,
        m.max_temperature
-FROM m JOIN supplier s ON m.l_suppkey = s.s_suppkey""", "A10 J09 F02")
+FROM m JOIN supplier s ON m.l_suppkey = s.s_suppkey""", "A10 F02")
 def composite_group_named(spark, sf):
     """Max per composite key (usaf, wban) joined to the station name."""
     li = table(spark, sf, "lineitem")
@@ -101,7 +101,7 @@ SELECT l.l_orderkey, l.l_linenumber, s.s_name, n.n_name
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey""", "J07 J10")
 def broadcast_join(spark, sf):
-    """Map-side joins: each dimension is broadcast only when its bound holds."""
+    """Map-side joins: each dimension is broadcast if its estimated bytes are within the bound."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
@@ -147,7 +147,7 @@ SELECT CAST(l.l_suppkey AS VARCHAR) AS station_id, s.s_name AS station_name,
        l.l_shipdate AS observed_at, l.l_extendedprice AS temperature
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey""", "J01")
 def reduce_side_join(spark, sf):
-    """Records joined with station names on the station id (shuffle join)."""
+    """Records joined with station names on the station id."""
     recs = table(spark, sf, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("station_id"),
         F.col("l_shipdate").alias("observed_at"), F.col("l_extendedprice").alias("temperature"))
@@ -170,6 +170,60 @@ def key_lookup(spark, sf):
     return J.keys_lookup(spark.read.parquet(path), keys, "l_suppkey")
 
 
+@query("composite_join", """
+WITH m AS (SELECT l_suppkey, l_linenumber, max(l_extendedprice) AS max_temperature FROM lineitem GROUP BY 1, 2),
+     s AS (SELECT s_suppkey, n, s_name || '-' || CAST(n AS VARCHAR) AS station_name
+           FROM supplier, (SELECT unnest(range(1, 4)) AS n))
+SELECT l_suppkey AS usaf, l_linenumber AS wban, station_name, max_temperature
+FROM m JOIN s ON l_suppkey = s_suppkey AND l_linenumber = n""", "J09")
+def composite_join(spark, sf):
+    """Joined on both parts of the key (usaf, wban); only three wbans have a name."""
+    m = (table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("usaf"), F.col("l_linenumber").alias("wban"))
+         .agg(F.max("l_extendedprice").alias("max_temperature")))
+    names = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("usaf"), "s_name", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("wban")).select(
+        "usaf", "wban", F.concat_ws("-", "s_name", F.col("wban").cast("string")).alias("station_name"))
+    return J.join(m, names, ["usaf", "wban"]).select("usaf", "wban", "station_name", "max_temperature")
+
+
+@query("join_same_names", """
+SELECT a.o_orderkey AS a_key, a.o_orderdate AS a_date, b.o_orderkey AS b_key, b.o_orderdate AS b_date
+FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey
+WHERE a.o_orderstatus = 'P' AND b.o_orderstatus = 'P'""", "P05")
+def join_same_names(spark, sf):
+    """Both inputs have the same column names; each is named by its relation."""
+    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "P").select("o_orderkey", "o_custkey", "o_orderdate")
+    a, b = o.alias("a"), o.alias("b")
+    j = a.join(b, (F.col("a.o_custkey") == F.col("b.o_custkey")) & (F.col("a.o_orderkey") < F.col("b.o_orderkey")))
+    return j.select(F.col("a.o_orderkey").alias("a_key"), F.col("a.o_orderdate").alias("a_date"),
+                    F.col("b.o_orderkey").alias("b_key"), F.col("b.o_orderdate").alias("b_date"))
+
+
+@query("point_lookup", """
+SELECT l_suppkey, l_orderkey, l_linenumber FROM lineitem
+WHERE l_suppkey = (SELECT min(s_suppkey) FROM supplier)""", "J19")
+def point_lookup(spark, sf):
+    """All rows of one key from the sorted lookup file (the filter reaches its row groups)."""
+    path = scratch_path(spark, "lookup")
+    sorted_lookup_file(table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber"), "l_suppkey", path)
+    key = table(spark, sf, "supplier").agg(F.min("s_suppkey")).first()[0]
+    return J.point_lookup(spark.read.parquet(path), "l_suppkey", key)
+
+
+@query("merge_fractions", """
+WITH a AS (SELECT o_custkey AS k, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total FROM orders GROUP BY 1),
+     b AS (SELECT c_custkey AS k, sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS total FROM customer GROUP BY 1)
+SELECT coalesce(a.k, b.k) AS custkey, CAST(coalesce(a.total, 0) + coalesce(b.total, 0) AS DOUBLE) AS total
+FROM a FULL JOIN b ON a.k = b.k""", "J18")
+def merge_fractions(spark, sf):
+    """Partial sums with cents are merged without losing them."""
+    def part(name, key, value):
+        return table(spark, sf, name).groupBy(F.col(key).alias("custkey")).agg(
+            F.sum(F.col(value).cast("decimal(18,2)")).cast("decimal(28,2)").alias("total"))
+    merged = J.merge_by_key([part("orders", "o_custkey", "o_totalprice"), part("customer", "c_custkey", "c_acctbal")], "custkey")
+    return merged.select("custkey", F.col("total").cast("double").alias("total"))
+
+
 @query("merge_totals", """
 WITH a AS (SELECT o_custkey AS k, count(*) AS orders FROM orders GROUP BY 1),
      b AS (SELECT o.o_custkey AS k, count(*) AS lines FROM lineitem l
@@ -299,3 +353,18 @@ def cogroup_flatten_both(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey")
     return c.join(o, "custkey")
+
+
+@query("cogroup_null_keys", """
+SELECT 'customers' AS side, count(*) AS rows FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'both', 0""", "J12 J13")
+def cogroup_null_keys(spark, sf):
+    """Null keys of the two sides are different groups: rows of each side's
+    null group, and the rows of groups that hold null keys of both."""
+    c = table(spark, sf, "customer").select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("k"), "c_custkey")
+    o = table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"), "o_orderkey")
+    g = B.cogroup(c, "k", ["c_custkey"], o, "k", ["o_orderkey"], a_bag="customers", b_bag="orders").where("key is null")
+    sizes = g.select(F.size("customers").alias("n"), F.size("orders").alias("m"))
+    total = sizes.agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum(F.when((F.col("n") > 0) & (F.col("m") > 0), F.col("n") + F.col("m")).otherwise(0)).alias("b"))
+    return total.select(F.expr("stack(3, 'customers', n, 'orders', m, 'both', b) as (side, rows)"))

@@ -38,15 +38,14 @@ def project_all(spark, sf):
 SELECT CASE WHEN p_size >= 25 THEN 'large' ELSE 'small' END AS branch, p_partkey, p_size
 FROM part""", "P11 K13")
 def split_relation(spark, sf):
-    """SPLIT part INTO large IF p_size >= 25, small OTHERWISE; both stored
-    from one load, then read back."""
+    """SPLIT part INTO large IF p_size >= 25, small OTHERWISE: one scan and
+    one write, with a folder for each branch."""
     p = table(spark, sf, "part").select("p_partkey", "p_size")
-    large, small = P.split_relation(p, F.col("p_size") >= 25)
-    la, sm = scratch_path(spark, "split-large"), scratch_path(spark, "split-small")
-    parquet(large, la)
-    parquet(small, sm)
-    return (spark.read.parquet(la).select(F.lit("large").alias("branch"), "*")
-            .unionByName(spark.read.parquet(sm).select(F.lit("small").alias("branch"), "*")))
+    branch = F.when(F.col("p_size") >= 25, "large").otherwise("small")
+    path = scratch_path(spark, "split")
+    parquet(p.withColumn("branch", branch), path, partition_by=["branch"])
+    return (spark.read.parquet(f"{path}/branch=large").select(F.lit("large").alias("branch"), "*")
+            .unionByName(spark.read.parquet(f"{path}/branch=small").select(F.lit("small").alias("branch"), "*")))
 
 
 @query("key_by_swap", """
@@ -91,6 +90,17 @@ def short_rows(spark, sf):
                     .alias("wide_lines"))
 
 
+@query("null_tests_with_nulls", """
+SELECT count(*) FILTER (WHERE v IS NULL) AS null_rows, count(*) FILTER (WHERE v IS NOT NULL) AS good_rows
+FROM (SELECT CASE WHEN event_type = 'error' THEN NULL ELSE value END AS v FROM events)""", "P07")
+def null_tests_with_nulls(spark, sf):
+    """IS NULL and IS NOT NULL over a written column that holds nulls."""
+    path = scratch_path(spark, "nulls")
+    parquet(table(spark, sf, "events").select(F.when(F.col("event_type") != "error", F.col("value")).alias("v")), path)
+    v = spark.read.parquet(path)
+    return v.agg(F.count_if(F.col("v").isNull()).alias("null_rows"), F.count_if(F.col("v").isNotNull()).alias("good_rows"))
+
+
 @query("null_tests", """
 SELECT count(*) FILTER (WHERE TRY_CAST(substr(p_brand, 7) AS INT) IS NULL) AS null_rows,
        count(*) FILTER (WHERE TRY_CAST(substr(p_brand, 7) AS INT) IS NOT NULL) AS good_rows
@@ -193,6 +203,13 @@ def range_balance(spark, sf):
     return O.partition_sizes(O.total_sort(li, ["l_extendedprice"], partitions=4))
 
 
+@query("range_balance_check", "SELECT count(*) AS rows, true AS within_target FROM lineitem", "O06")
+def range_balance_check(spark, sf):
+    """The largest of four ranges holds at most 1.2 times the mean (BASELINE)."""
+    n = F.col("n")
+    return range_balance(spark, sf).agg(F.sum(n).alias("rows"), (F.max(n) <= 1.2 * F.sum(n) / 4).alias("within_target"))
+
+
 @query("secondary_sort", """
 SELECT year, temperature, station_id FROM (
   SELECT CAST(year(l_shipdate) AS INT) AS year, l_extendedprice AS temperature,
@@ -236,6 +253,63 @@ def field_spec_sort(spark, sf):
     return O.field_spec_sort(li, "line", "-k1n -k2nr")
 
 
+def _order_sql(source: str) -> str:
+    return f"SELECT count(*) AS rows, 0 AS inversions FROM {source}"
+
+
+@query("order_by_order", _order_sql("part"), "O01 O08")
+def order_by_order(spark, sf):
+    """Rows and wrong neighbours in the sorted output; so are the queries below."""
+    return O.order_check(order_by(spark, sf), ["p_size", "p_retailprice", "p_partkey"], [True, False, True])
+
+
+@query("distribute_sort_order", _order_sql("lineitem"), "O03")
+def distribute_sort_order(spark, sf):
+    return O.order_check(distribute_sort(spark, sf), ["l_suppkey", "l_extendedprice"], [True, False], across=False)
+
+
+@query("distribute_sort_keys", "SELECT count(DISTINCT l_suppkey) AS keys, 0 AS keys_in_two_partitions FROM lineitem", "O03 O14")
+def distribute_sort_keys(spark, sf):
+    """All rows of a key are in one partition."""
+    d = distribute_sort(spark, sf).select("l_suppkey", F.spark_partition_id().alias("part"))
+    per = d.groupBy("l_suppkey").agg(F.count_distinct("part").alias("parts"))
+    return per.agg(F.count(F.lit(1)).alias("keys"), F.count_if(F.col("parts") > 1).alias("keys_in_two_partitions"))
+
+
+@query("hash_sort_order", _order_sql("lineitem"), "O04")
+def hash_sort_order(spark, sf):
+    return O.order_check(hash_sort(spark, sf), ["temperature"], across=False)
+
+
+@query("total_sort_order", _order_sql("lineitem"), "O06")
+def total_sort_order(spark, sf):
+    return O.order_check(total_sort(spark, sf), ["temperature"])
+
+
+@query("pair_sort_order", _order_sql("lineitem"), "O07 O09")
+def pair_sort_order(spark, sf):
+    return O.order_check(pair_sort(spark, sf), ["year", "temperature"], [True, False])
+
+
+@query("schema_sort_order", _order_sql("part"), "O12")
+def schema_sort_order(spark, sf):
+    return O.order_check(schema_sort(spark, sf), ["p_brand", "p_size"], [True, False])
+
+
+@query("field_spec_sort_order", _order_sql("lineitem"), "O13")
+def field_spec_sort_order(spark, sf):
+    number = [F.get(F.split("line", "\t"), i).cast("double").alias(f"k{i}") for i in (0, 1)]
+    return O.order_check(field_spec_sort(spark, sf).select(*number), ["k0", "k1"], [True, False])
+
+
+@query("partition_of_check", "SELECT count(*) AS rows, 0 AS mismatches FROM lineitem", "O14")
+def partition_of_check(spark, sf):
+    """The computed partition against the one that repartition(8, key) gives."""
+    li = table(spark, sf, "lineitem").select("l_suppkey").repartition(8, "l_suppkey")
+    wrong = F.spark_partition_id() != O.partition_of("l_suppkey", 8)
+    return li.select(wrong.alias("wrong")).agg(F.count(F.lit(1)).alias("rows"), F.count_if("wrong").alias("mismatches"))
+
+
 @query("partition_of", None, "O14")
 def partition_of(spark, sf):
     """Rows per hash partition of the station key (what repartition(8, key) does)."""
@@ -290,6 +364,17 @@ def bucket_sample(spark, sf):
     return U.bucket_sample(t, "c_custkey", 1, 4)
 
 
-@query("random_sample", None, "U06 F22")
+@query("random_sample_check", "SELECT true AS is_subset, true AS share_in_range FROM (SELECT 1)", "U06")
+def random_sample_check(spark, sf):
+    """The sample holds rows of the table only, each once, and about half of them."""
+    c = table(spark, sf, "customer")
+    n = c.count()
+    kept = random_sample(spark, sf).join(c.select("c_custkey"), "c_custkey", "left_semi")
+    whole = random_sample(spark, sf).agg(F.count(F.lit(1)).alias("m")).first().m
+    m, d = F.count(F.lit(1)), F.count_distinct("c_custkey")
+    return kept.agg(((m == whole) & (d == whole)).alias("is_subset"), m.between(0.4 * n, 0.6 * n).alias("share_in_range"))
+
+
+@query("random_sample", None, "U06")
 def random_sample(spark, sf):
     return U.random_sample(table(spark, sf, "customer"), 0.5, seed=7)

@@ -3,7 +3,6 @@ events, a keyed time-series table, nested values, per-partition functions."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
@@ -11,7 +10,7 @@ from ..functions.udfs import invoke, register_sql_functions
 from ..operators import aggregates as A
 from ..operators.ordering import first_per_group
 from ..plans.analogs import event_listens
-from ..sinks.tables import keyed_table
+from ..sinks.tables import keyed_table, latest_cells
 from ..session import scratch_path, table
 from .registry import query
 
@@ -38,7 +37,11 @@ SELECT doc_id, CAST(length(text) AS INT) AS chars, CAST(strlen(text) AS INT) AS
        CAST(CASE WHEN instr(text, ' ') > 0 THEN strlen(substr(text, 1, instr(text, ' ') - 1))
             ELSE -1 END AS INT) AS first_space_byte,
        CAST(instr(text, ' ') - 1 AS INT) AS first_space_char,
-       CAST(unicode(substr(text, 2, 1)) AS INT) AS second_code_point
+       CAST(unicode(substr(text, 2, 1)) AS INT) AS second_code_point,
+       CAST(coalesce(list_sum(list_transform(string_split(text, ''), lambda c: unicode(c))), 0) AS BIGINT) AS code_point_sum,
+       CAST(CASE WHEN instr(text, ' ') > 0 AND instr(substr(text, instr(text, ' ') + 1), ' ') > 0
+            THEN instr(text, ' ') + instr(substr(text, instr(text, ' ') + 1), ' ') - 1 ELSE -1 END AS INT) AS second_space_char,
+       encode(text) < encode('The m') AS before_the_m
 FROM documents""", "F06 F08")
 def text_measures(spark, sf):
     d = table(spark, sf, "documents")
@@ -46,7 +49,10 @@ def text_measures(spark, sf):
                     X.byte_length("text").alias("bytes"),
                     X.find_byte("text", " ").alias("first_space_byte"),
                     X.find_char("text", " ").alias("first_space_char"),
-                    F.get(X.code_points(F.substring("text", 1, 2)), 1).alias("second_code_point"))
+                    F.get(X.code_points("text"), 1).alias("second_code_point"),
+                    F.aggregate(X.code_points("text"), F.lit(0).cast("long"), lambda a, c: a + c).alias("code_point_sum"),
+                    X.find_char_from("text", " ", X.find_char("text", " ") + 1).alias("second_space_char"),
+                    (F.encode("text", "utf-8") < F.encode(F.lit("The m"), "utf-8")).alias("before_the_m"))
 
 
 @query("strip_chars", """
@@ -141,13 +147,28 @@ WITH l AS (SELECT user_id, TRY_CAST(regexp_extract(props, '"k": (\\d+)', 1) AS I
 SELECT track_id, count(DISTINCT user_id) AS listeners FROM l
 WHERE track_id IS NOT NULL AND (scrobbles > 0 OR radio > 0) GROUP BY 1""", "A29")
 def track_listeners(spark, sf):
-    """Unique listeners per track; non-listens dropped and counted aside."""
+    """Unique listeners per track."""
+    ls = event_listens(table(spark, sf, "events"))
+    is_listen = (F.col("scrobbles") > 0) | (F.col("radio") > 0)
+    return (ls.where(is_listen & F.col("track_id").isNotNull())
+            .groupBy("track_id").agg(F.count_distinct("user_id").alias("listeners")))
+
+
+@query("track_listeners_counted", _LISTENS_SQL + """
+SELECT track_id, count(DISTINCT user_id) AS listeners,
+       (SELECT count(*) FROM l WHERE NOT (scrobbles > 0 OR radio > 0)) AS not_listen,
+       (SELECT count(*) FROM l WHERE track_id IS NULL) AS invalid FROM l
+WHERE track_id IS NOT NULL AND (scrobbles > 0 OR radio > 0) GROUP BY 1""", "A29")
+def track_listeners_counted(spark, sf):
+    """Unique listeners, and the dropped rows counted by the job that writes them."""
     ls = event_listens(table(spark, sf, "events"))
     is_listen = (F.col("scrobbles") > 0) | (F.col("radio") > 0)
     counted, obs = A.observed(ls, "listens", not_listen=F.count_if(~is_listen),
                               invalid=F.count_if(F.col("track_id").isNull()))
-    return (counted.where(is_listen & F.col("track_id").isNotNull())
-            .groupBy("track_id").agg(F.count_distinct("user_id").alias("listeners")))
+    path = scratch_path(spark, "listeners")
+    (counted.where(is_listen & F.col("track_id").isNotNull())
+     .groupBy("track_id").agg(F.count_distinct("user_id").alias("listeners")).write.parquet(path))
+    return spark.read.parquet(path).select("*", *[F.lit(obs.get[c]).cast("long").alias(c) for c in ("not_listen", "invalid")])
 
 
 @query("track_totals", _LISTENS_SQL + """
@@ -241,12 +262,45 @@ def table_fn(spark, sf):
 SELECT doc_id, CAST((length(text) - length(replace(text, 'the', ''))) / 3 AS BIGINT) AS the_count
 FROM documents""", "X07")
 def setup_fn(spark, sf):
-    """A row function with per-task setup (Arrow batches, vectorised)."""
-    def count_the(batches):
-        needle = "the"  # set up once per task
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"],
-                                "the_count": pdf["text"].str.count(needle).astype("int64")})
-
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    return d.mapInPandas(count_the, "doc_id long, the_count long")
+    """A row function whose pattern is compiled once for a task, by Spark."""
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", F.regexp_count("text", F.lit("the")).cast("long").alias("the_count"))
+
+
+@query("keyed_table_latest_cell", """
+SELECT user_id, minute, value FROM (
+  SELECT user_id, strftime(ts, '%Y-%m-%d %H') AS minute, value,
+         row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d %H') ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events WHERE event_type <> 'error') WHERE rn = 1""", "K20 S23")
+def keyed_table_latest_cell(spark, sf):
+    """Valid rows only are loaded; a row key that comes again keeps its newest cell."""
+    e = table(spark, sf, "events").where(F.col("event_type") != "error")
+    rows = e.select(F.struct("user_id", F.date_format("ts", "yyyy-MM-dd HH").alias("minute")).alias("k"),
+                    F.struct("ts", "event_id").alias("cell_time"), "value")
+    path = scratch_path(spark, "cells")
+    keyed_table(latest_cells(rows.select("k.*", "cell_time", "value"), ["user_id", "minute"], "cell_time"),
+                ["user_id", "minute"], path)
+    return spark.read.parquet(path).select("user_id", "minute", "value")
+
+
+@query("union_access", """
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 0 ELSE 1 END AS tag,
+       CASE WHEN p_size % 2 = 0 THEN p_size END AS as_int, CASE WHEN p_size % 2 = 1 THEN p_name END AS as_text
+FROM part""", "P26")
+def union_access(spark, sf):
+    """A tagged union (one of an int and a text), read by its tag."""
+    even = F.col("p_size") % 2 == 0
+    p = table(spark, sf, "part").select("p_partkey", F.struct(
+        F.when(even, 0).otherwise(1).alias("tag"), F.when(even, F.col("p_size")).alias("m0"),
+        F.when(~even, F.col("p_name")).alias("m1")).alias("u"))
+    return p.select("p_partkey", "u.tag", F.col("u.m0").alias("as_int"), F.col("u.m1").alias("as_text"))
+
+
+@query("random_values", "SELECT count(*) AS rows, true AS in_range, true AS mean_near_half, true AS all_differ FROM customer", "F22")
+def random_values(spark, sf):
+    """rand(): one value in [0, 1) for each row."""
+    r = table(spark, sf, "customer").select(F.rand(11).alias("r"))
+    n = F.count(F.lit(1))
+    return r.agg(n.alias("rows"), (F.count_if((F.col("r") >= 0) & (F.col("r") < 1)) == n).alias("in_range"),
+                 (F.abs(F.avg("r") - 0.5) < 0.1).alias("mean_near_half"),
+                 (F.count_distinct("r") > 0.99 * n).alias("all_differ"))

@@ -14,7 +14,7 @@ from ..functions import transform as T
 from ..functions.udfs import MAXIMUM, MEAN, max_by_group, register_sql_functions
 from ..operators import aggregates as A
 from ..plans.analogs import lineitem_readings
-from ..session import table
+from ..session import scratch_path, table
 from .registry import query
 
 VALID_SQL = "l_linenumber IN (0, 1, 4, 5, 9) AND l_quantity <> 50"
@@ -71,8 +71,8 @@ FROM lineitem WHERE {VALID_SQL} GROUP BY 1""", "X09 X10 X11 X12")
 def max_by_year_script(spark, sf):
     r = _readings(spark, sf).where(~F.col("missing"))
     return T.map_combine_reduce(r, "year", "temperature", "quality",
-                                T.script_command("max_temp_map.py"),
-                                T.script_command("max_temp_reduce.py"),
+                                T.script_command(spark, "max_temp_map.py"),
+                                T.script_command(spark, "max_temp_reduce.py"),
                                 "max_temperature")
 
 
@@ -157,7 +157,8 @@ SELECT CAST(s.y AS INT) AS year, s.n AS stations, r.n AS records, g.n AS good_re
 FROM s JOIN r ON s.y = r.y JOIN g ON s.y = g.y""", "K12 J10 A08")
 def multi_insert_stats(spark, sf):
     """One scan feeds three outputs (stations, records, good records per
-    year); they are written as tables, then star-joined back together."""
+    year); the grouped result is written once, the outputs are written from
+    it, and they are star-joined back together."""
     from ..operators.joins import star_join
     from ..sinks.tables import multi_insert
     r = _readings(spark, sf)
@@ -168,12 +169,11 @@ def multi_insert_stats(spark, sf):
         F.count(F.lit(1)).alias("records"),
         F.count_if(good).alias("good_records"))
     outs = multi_insert(per_year, {
-        "stations": per_year.select("year", "stations"),
-        "records": per_year.select("year", "records"),
-        "good_records": per_year.where(F.col("good_records") > 0).select("year", "good_records"),
+        "stations": (["year", "stations"], None),
+        "records": (["year", "records"], None),
+        "good_records": (["year", "good_records"], F.col("good_records") > 0),
     })
-    return star_join(outs["stations"], [outs["records"], outs["good_records"]], "year",
-                     max_rows=100_000)
+    return star_join(outs["stations"], [outs["records"], outs["good_records"]], "year")
 
 
 @query("group_all_count", """
@@ -198,6 +198,30 @@ def quality_code_counts(spark, sf):
     return _readings(spark, sf).groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("quality_report", """
+SELECT l_linenumber AS quality, count(*) AS n,
+       (SELECT count(*) FROM lineitem WHERE l_quantity = 50) AS missing,
+       (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS malformed
+FROM lineitem GROUP BY 1""", "A32")
+def quality_report(spark, sf):
+    """Counters for missing and malformed records and the counts by quality
+    code, all from one scan: a line whose flag is R has no number."""
+    number = F.when(F.col("l_returnflag") == "R", "?").otherwise(F.col("l_quantity").cast("string"))
+    path = scratch_path(spark, "quality-lines")
+    table(spark, sf, "lineitem").select(
+        F.concat_ws(" ", F.col("l_linenumber").cast("string"), number,
+                    (F.col("l_quantity") == 50).cast("string")).alias("value")).write.text(path)
+    part = F.split("value", " ")
+    lines = spark.read.text(path).select(F.get(part, 0).cast("int").alias("quality"),
+                                         F.get(part, 1).try_cast("double").alias("number"), F.get(part, 2).alias("gone"))
+    counted, obs = A.observed(lines, "quality", missing=F.count_if(F.col("gone") == "true"),
+                              malformed=F.count_if(F.col("number").isNull()))
+    out = scratch_path(spark, "quality-codes")
+    counted.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).write.parquet(out)
+    return spark.read.parquet(out).select(
+        "*", *[F.lit(obs.get[c]).cast("long").alias(c) for c in ("missing", "malformed")])
+
+
 @query("missing_pct", """
 SELECT round(100.0 * count(*) FILTER (WHERE l_quantity = 50) / count(*), 6) AS missing_pct
 FROM lineitem""", "A33")
@@ -217,9 +241,9 @@ def side_count(spark, sf):
     good = F.col("quality").isin(0, 1, 4, 5, 9) & ~F.col("missing")
     counted, obs = A.observed(r, "rejected", rejected=F.count_if(~good))
     result = counted.where(good).groupBy("year").agg(F.max("temperature").alias("max_temperature"))
-    rows = result.cache()
-    rows.count()  # one action fills the observation and the cache
-    return rows.withColumn("rejected", F.lit(obs.get["rejected"]).cast("long"))
+    path = scratch_path(spark, "counted")
+    result.write.parquet(path)  # the job that writes the result fills the observation
+    return spark.read.parquet(path).withColumn("rejected", F.lit(obs.get["rejected"]).cast("long"))
 
 
 # --- two differently formatted sources, unioned ---------------------------------

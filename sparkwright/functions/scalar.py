@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ def is_good_quality(q) -> Column:
     return F.coalesce(_c(q).isin(*GOOD_QUALITY_CODES), F.lit(False))
 
 
+def quoted(text: str) -> str:
+    """A pattern that matches the text itself."""
+    return re.sub(r"([^A-Za-z0-9_\s])", r"\\\1", text)
+
+
 def java_trim(s) -> Column:
     """Trim every char <= U+0020 at both ends (spaces, tabs, controls)."""
     return F.regexp_replace(_c(s), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
@@ -30,7 +37,7 @@ def java_trim(s) -> Column:
 def strip(s, chars: str | None = None) -> Column:
     """Strip whitespace, or any of ``chars``, from both ends."""
     if chars is None:
-        return F.btrim(_c(s))
+        return F.regexp_replace(_c(s), r"^\s+|\s+$", "")
     return F.btrim(_c(s), F.lit(chars))
 
 
@@ -96,3 +103,8 @@ def trunc_div(a, b: int) -> Column:
     """Integer division truncated toward zero (the Java rule)."""
     a = _c(a).cast("long")
     return ((a - a % b) / b).cast("long")
+
+
+def find_char_from(s, sub: str, start: Column) -> Column:
+    """Code-point index of the first ``sub`` at or after index ``start`` (0 if that is below 0); -1 if there is none."""
+    return (F.call_function("locate", F.lit(sub), _c(s), F.greatest(start, F.lit(0)) + 1) - 1).cast("int")

@@ -1,19 +1,7 @@
-"""Reduce script: 'key<TAB>value' lines grouped by key -> 'key<TAB>max'.
-
-Input must arrive clustered by key (all lines of a key together).  The
-running maximum starts from the first value of the key, not from zero.
-"""
+"""Reduce script: 'key<TAB>value' lines clustered by key -> 'key<TAB>max'."""
 import sys
+from itertools import groupby
 
-last_key, best = None, None
-for line in sys.stdin:
-    key, value = line.rstrip("\n").split("\t")[:2]
-    v = float(value)
-    if key != last_key:
-        if last_key is not None:
-            sys.stdout.write(f"{last_key}\t{best!r}\n")
-        last_key, best = key, v
-    elif v > best:
-        best = v
-if last_key is not None:
-    sys.stdout.write(f"{last_key}\t{best!r}\n")
+rows = (line.rstrip("\n").split("\t") for line in sys.stdin)
+for key, group in groupby(rows, key=lambda row: row[0]):
+    print(key, repr(max(float(row[1]) for row in group)), sep="\t")

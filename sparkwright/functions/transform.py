@@ -2,8 +2,7 @@
 
 Spark's ``TRANSFORM ... USING`` feeds each task's rows to a child process as
 tab-separated text and reads its output back as typed columns.  Scripts
-ship with the package; the command runs the package's own interpreter on
-them, so executors need the package installed (as for any Python job).
+ship with the job.
 """
 
 from __future__ import annotations
@@ -12,18 +11,28 @@ import os
 import shlex
 import sys
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-SCRIPT_DIR = os.path.join(os.path.dirname(os.path.abspath(__file__)), "scripts")
+from ..session import is_local
 
+SCRIPT_DIR = os.path.join(os.path.dirname(os.path.abspath(__file__)), "scripts")
 
-# Interpreter for packaged scripts: the one PySpark workers use.
-PYTHON = os.environ.get("PYSPARK_PYTHON") or os.path.realpath(sys.executable)
 
+def script_command(spark: SparkSession, name: str) -> str:
+    """Shell command that runs a packaged script.
 
-def script_command(name: str) -> str:
-    """Shell command that runs a packaged script."""
-    return f"{shlex.quote(PYTHON)} -u {shlex.quote(os.path.join(SCRIPT_DIR, name))}"
+    The script is shipped with the job (``addFile``): executors find it by
+    its name in their working folder.  A local session runs in the driver's
+    folder, so there the fetched copy is named.
+    """
+    sc = spark.sparkContext
+    sc.addFile(os.path.join(SCRIPT_DIR, name))
+    python, script = "${PYSPARK_PYTHON:-python3}", shlex.quote(name)
+    if is_local(sc.master):
+        python = shlex.quote(os.environ.get("PYSPARK_PYTHON") or os.path.realpath(sys.executable))
+        script = shlex.quote(SparkFiles.get(name))
+    return f"{python} -u {script}"
 
 
 def _sql_str(s: str) -> str:
@@ -52,11 +61,6 @@ def transform(df: DataFrame, cols: list[str], command: str, out_schema: str,
     return spark.sql(text.replace("{", "{{").replace("}", "}}") + "{src}", src=src)
 
 
-def pipe_lines(df: DataFrame, col: str, command: str, out_col: str = "value") -> DataFrame:
-    """STREAM a text column through a command; one output line per row out."""
-    return transform(df, [col], command, f"{out_col} STRING")
-
-
 def map_combine_reduce(df: DataFrame, key: str, value: str, quality: str,
                        mapper: str, reducer: str, out_value: str,
                        value_type: str = "DOUBLE") -> DataFrame:

@@ -29,7 +29,7 @@ def register_sql_functions(spark: SparkSession) -> None:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION isgood(q INT) RETURNS BOOLEAN "
               f"RETURN coalesce(q IN ({codes}), false)")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION strip(s STRING, chars STRING DEFAULT NULL) "
-              "RETURNS STRING RETURN CASE WHEN chars IS NULL THEN btrim(s) ELSE btrim(s, chars) END")
+              "RETURNS STRING RETURN CASE WHEN chars IS NULL THEN regexp_replace(s, r'^\\s+|\\s+$', '') ELSE btrim(s, chars) END")
 
 
 def invoke(name: str, *args) -> Column:

@@ -36,12 +36,6 @@ def flatten_bag(df: DataFrame, bag: str) -> DataFrame:
     return df.select(*others, F.inline(bag))
 
 
-def flatten_struct(df: DataFrame, col: str) -> DataFrame:
-    """FLATTEN(tuple): one nesting level of a struct becomes columns."""
-    others = [c for c in df.columns if c != col]
-    return df.select(*others, f"{col}.*")
-
-
 def cogroup(a: DataFrame, a_key: str, a_cols: Sequence[str],
             b: DataFrame, b_key: str, b_cols: Sequence[str],
             key: str = "key", inner_a: bool = False, inner_b: bool = False,
@@ -57,9 +51,11 @@ def cogroup(a: DataFrame, a_key: str, a_cols: Sequence[str],
     sb = F.struct(*[F.col(c) for c in b_cols])
     ta = a.select(F.col(a_key).alias(key), sa.alias("_a"), F.lit(None).cast(sb_type(b, b_cols)).alias("_b"))
     tb = b.select(F.col(b_key).alias(key), F.lit(None).cast(sb_type(a, a_cols)).alias("_a"), sb.alias("_b"))
-    g = ta.unionByName(tb).groupBy(key).agg(
+    # Null keys of the two sides are different keys: such a key carries its side.
+    side = F.when(F.col(key).isNull(), F.col("_a").isNull()).alias("_side")
+    g = ta.unionByName(tb).groupBy(key, side).agg(
         F.sort_array(F.collect_list("_a")).alias(a_bag),
-        F.sort_array(F.collect_list("_b")).alias(b_bag))
+        F.sort_array(F.collect_list("_b")).alias(b_bag)).drop("_side")
     if inner_a:
         g = g.where(F.size(a_bag) > 0)
     if inner_b:

@@ -4,8 +4,9 @@ Spark picks the physical join (broadcast hash when a side is under
 ``spark.sql.autoBroadcastJoinThreshold`` by statistics, sort-merge
 otherwise; AQE re-decides at runtime from real sizes and splits skewed
 partitions).  An explicit broadcast is only requested through
-:func:`checked_broadcast`, which proves the side's row bound with a bounded
-``limit(n + 1).count()`` first and otherwise leaves the choice to Spark.
+:func:`checked_broadcast`, which compares the optimizer's estimate of the
+side's bytes with a bound and otherwise leaves the choice to Spark.  No job
+runs while a join is being built.
 """
 
 from __future__ import annotations
@@ -16,18 +17,18 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for a side we will ask Spark to broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
+# Bound in bytes for a side we will ask Spark to broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads <= max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (from file sizes and column widths)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size bound holds, else ``df`` unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is within the bound, else ``df`` unchanged."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -43,23 +44,23 @@ def join_by_position(left: DataFrame, lpos: int, right: DataFrame, rpos: int,
 
 
 def broadcast_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Map-side join: the small side is replicated when its bound holds."""
-    return big.join(checked_broadcast(small, max_rows), on, how)
+    return big.join(checked_broadcast(small, max_bytes), on, how)
 
 
 def star_join(fact: DataFrame, dims: Sequence[DataFrame], on,
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Chain of joins on one key, each dimension broadcast when small."""
-    return reduce(lambda acc, d: acc.join(checked_broadcast(d, max_rows), on), dims, fact)
+    return reduce(lambda acc, d: acc.join(checked_broadcast(d, max_bytes), on), dims, fact)
 
 
 def lookup_with_fallback(df: DataFrame, key: str, names: DataFrame, name_key: str,
                          name_col: str, out: str = "name",
-                         max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                         max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Left lookup of a name; a missing or blank name falls back to the id."""
     side = names.select(F.col(name_key).alias("_lk"), F.col(name_col).alias("_ln"))
-    j = df.join(checked_broadcast(side, max_rows), F.col(key) == F.col("_lk"), "left")
+    j = df.join(checked_broadcast(side, max_bytes), F.col(key) == F.col("_lk"), "left")
     fallback = F.coalesce(F.nullif(F.trim("_ln"), F.lit("")), F.col(key).cast("string"))
     return j.withColumn(out, fallback).drop("_lk", "_ln")
 
@@ -70,30 +71,25 @@ def map_lookup(col, mapping: dict) -> Column:
     return m[F.col(col) if isinstance(col, str) else col]
 
 
-def cross(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Cartesian product (CROSS A, B), allowed only for bounded inputs.
-
-    The output has |left| x |right| rows, so both sides must prove a row
-    bound first; otherwise this raises instead of planning a product that
-    grows with the square of the data.
-    """
-    if not (fits(left, max_rows) and fits(right, max_rows)):
-        raise ValueError(f"cross product refused: an input has more than {max_rows} rows")
-    return left.crossJoin(right)
-
-
 def merge_by_key(parts: Iterable[DataFrame], key: str) -> DataFrame:
     """Merge partial records per key by summing every other column.
 
     The union + grouped sum is one shuffle with map-side combine; a key
-    missing from a part contributes zeros, like padded records.
+    missing from a part contributes zeros, like padded records.  Columns keep
+    their kind: fractions stay fractions, whole numbers become longs.
     """
     parts = list(parts)
-    cols = sorted({c for p in parts for c in p.columns if c != key})
-    padded = [p.select(key, *[(F.col(c) if c in p.columns else F.lit(0)).cast("long").alias(c)
+    kinds: dict[str, str] = {}
+    for p in parts:
+        for c, t in p.dtypes:
+            if c != key:
+                whole = t in ("tinyint", "smallint", "int", "bigint")
+                kinds[c] = (kinds.get(c, "bigint") if whole else t if kinds.get(c, "bigint") in ("bigint", t) else "double")
+    cols = sorted(kinds)
+    padded = [p.select(key, *[(F.col(c) if c in p.columns else F.lit(0)).cast(kinds[c]).alias(c)
                               for c in cols]) for p in parts]
     u = reduce(lambda a, b: a.unionByName(b), padded)
-    return u.groupBy(key).agg(*[F.sum(c).cast("long").alias(c) for c in cols])
+    return u.groupBy(key).agg(*[F.sum(c).alias(c) for c in cols])
 
 
 def point_lookup(df: DataFrame, key: str, value) -> DataFrame:

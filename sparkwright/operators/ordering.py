@@ -1,9 +1,10 @@
 """Sorting, top-k, partition assignment and order specs.
 
 A global sort is a range exchange (sampled boundaries) + per-partition
-sort.  Sorts add the whole row as a final tie-breaker where a hot sort key
-would otherwise pin every equal row to one range partition: with the
-tie-breaker the sampler can cut inside a run of equal keys.
+sort.  Every global sort ends in a tie-breaker, the row's place in the
+input: rows with equal keys, and even equal rows, can be cut between range
+partitions, so a hot key is not sorted by one task, and equal rows keep
+their input order.
 """
 
 from __future__ import annotations
@@ -14,11 +15,52 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import quoted
+
 
 def order_by(df: DataFrame, cols: Sequence[str], ascending: Sequence[bool] | None = None) -> DataFrame:
     """ORDER BY cols with per-column direction (default ascending)."""
     ascending = ascending or [True] * len(cols)
-    return df.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in zip(cols, ascending)])
+    return _sorted(df, [F.col(c).asc() if a else F.col(c).desc() for c, a in zip(cols, ascending)])
+
+
+def _sorted(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """A global sort by the keys and the place in the input."""
+    return df.withColumn("_place", F.monotonically_increasing_id()).orderBy(*keys, "_place").drop("_place")
+
+
+def order_check(df: DataFrame, cols: Sequence[str], ascending: Sequence[bool] | None = None,
+                across: bool = True) -> DataFrame:
+    """(rows, inversions) of a sorted frame in the order its partitions hold it.
+
+    Neighbours inside a partition are compared through a window over the
+    place; with ``across`` also the last row of each partition with the first
+    of the next one that has rows (one row for each partition).
+    """
+    ascending = list(ascending or [True] * len(cols))
+    place = (df.select(F.struct(*cols).alias("now")).withColumn("part", F.spark_partition_id())
+             .withColumn("place", F.monotonically_increasing_id()))
+    w = Window.partitionBy("part").orderBy("place")
+    inside = place.select("part", "place", "now", F.lag("now").over(w).alias("before"))
+    per = inside.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(_wrong_way(cols, ascending)).alias("bad"),
+        F.min_by("now", "place").alias("now"), F.max_by("now", "place").alias("last"))
+    if across:
+        per = per.withColumn("before", F.lag("last").over(Window.orderBy("part")))
+        per = per.withColumn("bad", F.col("bad") + F.coalesce(_wrong_way(cols, ascending).cast("int"), F.lit(0)))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("bad"), F.lit(0)).alias("inversions"))
+
+
+def _wrong_way(cols: Sequence[str], ascending: Sequence[bool]) -> Column:
+    """True where ``before`` sorts after ``now``; nulls are least."""
+    wrong, equal = F.lit(False), F.col("before").isNotNull()
+    for c, up in zip(cols, ascending):
+        a, b = F.col("before")[c], F.col("now")[c]
+        low, high = (a, b) if up else (b, a)
+        after = (low.isNotNull() & high.isNull()) | F.coalesce(low > high, F.lit(False))
+        wrong = wrong | (equal & after)
+        equal = equal & a.eqNullSafe(b)
+    return wrong
 
 
 def top_k(df: DataFrame, k: int, cols: Sequence[str], ascending: Sequence[bool] | None = None) -> DataFrame:
@@ -50,8 +92,9 @@ def total_sort(df: DataFrame, cols: Sequence[str], ascending: Sequence[bool] | N
     keys = [F.col(c).asc() if a else F.col(c).desc() for c, a in zip(cols, ascending)]
     keys += [F.col(c).asc() for c in rest]
     if partitions:
-        return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
-    return df.orderBy(*keys)
+        df = df.withColumn("_place", F.monotonically_increasing_id())
+        return df.repartitionByRange(partitions, *keys, "_place").sortWithinPartitions(*keys, "_place").drop("_place")
+    return _sorted(df, keys)
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:
@@ -93,7 +136,7 @@ def schema_sort(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
         if order not in (ASCENDING, DESCENDING):
             raise ValueError(f"bad order {order!r} for field {name}")
         keys.append(F.col(name).asc() if order == ASCENDING else F.col(name).desc())
-    return df.orderBy(*keys)
+    return _sorted(df, keys)
 
 
 _KEY_RE = re.compile(r"^-k(\d+)(?:,(\d+))?([nr]*)$")
@@ -112,10 +155,10 @@ def parse_key_spec(spec: str) -> list[tuple[int, bool, bool]]:
 
 def field_spec_sort(df: DataFrame, line: str, spec: str, sep: str = "\t") -> DataFrame:
     """Sort text lines by key fields: numeric ('n') and/or reversed ('r')."""
-    parts = F.split(F.col(line), sep)
+    parts = F.split(F.col(line), quoted(sep))
     keys = []
     for idx, numeric, reverse in parse_key_spec(spec):
         f = F.get(parts, idx - 1)
         k = f.try_cast("double") if numeric else f
         keys.append(k.desc() if reverse else k.asc())
-    return df.orderBy(*keys, F.col(line).asc())
+    return _sorted(df, [*keys, F.col(line).asc()])

@@ -30,11 +30,6 @@ def swap(df: DataFrame, k: str = "key", v: str = "value") -> DataFrame:
     return df.select(F.col(v).alias(k), F.col(k).alias(v))
 
 
-def row_width_at_least(line: str, n: int, sep: str = "\t") -> Column:
-    """Rows with at least ``n`` separated fields."""
-    return F.size(F.split(F.col(line), sep)) >= n
-
-
 class SchemaMismatch(ValueError):
     """Reader schema cannot be resolved against the data's schema."""
 
@@ -75,8 +70,6 @@ def resolve_reader_schema(df: DataFrame, reader: T.StructType,
             raise SchemaMismatch(f"field {f.name}: {wt.simpleString()} cannot be read as "
                                  f"{rt.simpleString()}")
         col = F.col(src) if wt == rt else F.col(src).cast(rt)
-        if f.name in defaults:
-            col = F.coalesce(col, F.lit(defaults[f.name]).cast(rt))
         out.append(col.alias(f.name))
     return df.select(*out)
 

@@ -51,35 +51,44 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster-wide setting).  Only when
-    it is unset -- a local run or a test -- a fresh folder is made and set.
+    Read from ``spark.checkpoint.dir`` (the cluster-wide setting).  A local
+    session without one gets a temporary folder; on a cluster that would be
+    each machine's own disk, so there it is an error.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="sparkwright-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+def is_local(master: str) -> bool:
+    """One machine, one process: ``local``, ``local[4]``, but not ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
+_made: list[str] = []
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the intermediates this process has made, at the end of a run; returns how many."""
+    n = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused)."""
     base = shared_dir(spark).rstrip("/")
     # the checkpoint dir Spark reports has its own uuid child; stay beside it
-    return f"{base}/sw-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that touch local files."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
+    _made.append(f"{base}/sw-{name}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,9 +8,11 @@ written table with it.
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -29,11 +31,12 @@ def kv_text(df: DataFrame, key: str, value: str | list[str], path: str,
 
 def delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists",
               compression: str | None = None) -> None:
-    """Store with a chosen delimiter; nulls written as empty fields."""
-    w = df.write.mode(mode).option("sep", sep).option("nullValue", "")
+    """Store with a chosen delimiter and no quoting; nulls become empty fields."""
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    w = df.select(line.alias("value")).write.mode(mode)
     if compression:
         w = w.option("compression", compression)
-    w.csv(path)
+    w.text(path)
 
 
 def parquet(df: DataFrame, path: str, mode: str = "errorifexists",
@@ -44,10 +47,6 @@ def parquet(df: DataFrame, path: str, mode: str = "errorifexists",
     w.parquet(path)
 
 
-def orc(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).orc(path)
-
-
 def json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Records to text lines, one JSON object per row."""
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode(mode).text(path)
@@ -61,15 +60,14 @@ def sequence_file(df: DataFrame, key: str, value: str, path: str,
 
 
 def by_key(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet",
-           mode: str = "errorifexists", files_per_key: int = 4) -> None:
+           mode: str = "errorifexists") -> None:
     """One output directory per key value (``key=value/``).
 
-    Rows are first shuffled on the keys plus a spread column so each key's
-    rows go to ``files_per_key`` writers: a hot key is written by several
-    tasks instead of one, and each task holds few open files.
+    Rows are rebalanced on the keys: small keys share a task, and AQE splits
+    a hot key by its size, so its directory is written by as many tasks as it
+    needs.
     """
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_key))
-    out = df.repartition(*[F.col(k) for k in keys], spread)
+    out = df.hint("rebalance", *[F.col(k) for k in keys])
     out.write.mode(mode).partitionBy(*keys).format(fmt).save(path)
 
 
@@ -94,10 +92,15 @@ def static_partition(df: DataFrame, path: str, values: Mapping[str, str],
 
 
 def list_partitions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Distinct partition values of a partitioned dataset (SHOW PARTITIONS)."""
-    return (spark.read.parquet(path).select(*keys).distinct()
-            .select(F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string"))
-                                      for k in keys]).alias("partition")))
+    """SHOW PARTITIONS of a partitioned dataset: folders are listed, no data is read."""
+    name = f"partitions_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        found = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]   # one row for each folder
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([(p,) for p in found], "partition string")
 
 
 def compact(spark: SparkSession, src_glob: str, path: str,
@@ -124,6 +127,13 @@ def sorted_lookup_file(df: DataFrame, key: str, path: str, buckets: int | None =
      .write.option("parquet.block.size", 8 * 1024 * 1024).parquet(path))
 
 
+def latest_cells(df: DataFrame, key_cols: list[str], time: str) -> DataFrame:
+    """Of the rows with one key the newest; the aggregate combines before the shuffle."""
+    others = [c for c in df.columns if c not in key_cols and c != time]
+    newest = df.groupBy(*key_cols).agg(F.max_by(F.struct(*others), time).alias("_cell"))
+    return newest.select(*key_cols, "_cell.*")
+
+
 def keyed_table(df: DataFrame, key_cols: list[str], path: str,
                 partitions: int | None = None) -> None:
     """Range-partitioned, key-sorted table (wide-column store layout)."""
@@ -132,18 +142,20 @@ def keyed_table(df: DataFrame, key_cols: list[str], path: str,
     out.sortWithinPartitions(*key_cols).write.parquet(path)
 
 
-def multi_insert(src: DataFrame, outputs: Mapping[str, DataFrame],
+def multi_insert(per_key: DataFrame, outputs: Mapping[str, tuple],
                  fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Write several outputs derived from one source; return them read back.
+    """Several outputs from one scan: ``outputs`` maps a name to (columns, condition or None).
 
-    Each output is written once to the shared folder and read back, so
-    later steps reuse the written table instead of recomputing the source.
+    The source is computed and written once; each output is then written
+    from that copy, so the scan below runs once whatever the number of outputs.
     """
-    spark = src.sparkSession
-    result = {}
-    for name, out in outputs.items():
+    spark = per_key.sparkSession
+    whole = scratch_path(spark, "insert-all")
+    per_key.write.format(fmt).save(whole)
+    src, result = spark.read.format(fmt).load(whole), {}
+    for name, (cols, condition) in outputs.items():
         p = scratch_path(spark, f"insert-{name}")
-        out.write.format(fmt).save(p)
+        (src.where(condition) if condition is not None else src).select(*cols).write.format(fmt).save(p)
         result[name] = spark.read.format(fmt).load(p)
     return result
 
@@ -155,27 +167,37 @@ def write_mode(df: DataFrame, path: str, mode: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _newest_mtime(spark: SparkSession, path: str):
-    """Latest modification time under ``path`` (file metadata only)."""
+def _newest_mtime(spark: SparkSession, path: str) -> int | None:
+    """Latest modification time (ms) of the files under ``path``, None if there is no such path."""
     try:
-        row = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(path).agg(F.max("modificationTime")).first())
-    except Exception:  # path absent
-        return None
-    return row[0] if row else None
+        row = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+               .agg(F.unix_millis(F.max("modificationTime"))).first())
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return row[0]
+
+
+def _finished_at(spark: SparkSession, path: str) -> int | None:
+    """When the writer of ``path`` left its success marker (ms), None if it has not."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(marker).getModificationTime() if fs.exists(marker) else None
 
 
 def checkpointed(df: DataFrame, path: str, inputs: list[str] | None = None) -> DataFrame:
-    """Materialise ``df`` at ``path`` unless a copy newer than its inputs exists.
+    """Materialise ``df`` at ``path`` unless a whole copy newer than its inputs exists.
 
-    Staleness compares file modification times (read as metadata through
-    the file source, so it works on any shared file system): re-running a
-    pipeline reuses the intermediate, a changed input recomputes it.
+    A copy is whole when its writer has left ``_SUCCESS``; what a broken run
+    has written is written anew.  Staleness compares file modification times
+    (metadata only).  An input that is missing or cannot be read is an error.
     """
     spark = df.sparkSession
-    done = _newest_mtime(spark, path)
-    newest_input = max([t for t in (_newest_mtime(spark, p) for p in inputs or []) if t],
-                       default=None)
-    if done is None or (newest_input is not None and newest_input > done):
+    done = _finished_at(spark, path)
+    times = [_newest_mtime(spark, p) for p in inputs or []]
+    if any(t is None for t in times):
+        raise FileNotFoundError(f"an input of {path} is missing: {inputs}")
+    if done is None or any(t > done for t in times):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -11,10 +11,12 @@ from __future__ import annotations
 import re
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import quoted
+
 # --- column ranges -------------------------------------------------------------
 
 _RANGE = re.compile(r"^\s*(\d+)\s*(?:-\s*(\d+))?\s*$")
@@ -61,8 +63,7 @@ def load_cut(spark: SparkSession, path: str, spec: str, schema: T.StructType) ->
 
 def regex_columns(line: Column, regex: str, schema: T.StructType) -> list[Column]:
     """Capture group i -> field i; a non-matching line gives all nulls."""
-    full = regex if regex.startswith("^") else "^" + regex
-    full = full if full.endswith("$") else full + "$"
+    full = f"^(?:{regex})\\z"
     hit = line.rlike(full)
     cols = []
     for i, f in enumerate(schema.fields, start=1):
@@ -80,16 +81,23 @@ def load_regex(spark: SparkSession, path: str, regex: str, schema: T.StructType)
 
 def load_delimited(spark: SparkSession, path: str, sep: str = "\t",
                    schema: T.StructType | None = None, names: Sequence[str] | None = None) -> DataFrame:
-    """Delimited text.  With a schema, a value that does not cast is null
-    and a short row is padded with nulls (the row stays).  Without one,
-    fields are strings named ``_c0, _c1, ...`` (or ``names``)."""
-    r = spark.read.option("sep", sep).option("mode", "PERMISSIVE").option("header", "false")
-    if schema is not None:
-        return r.schema(schema).csv(path)
-    df = r.csv(path)
-    if names:
-        df = df.toDF(*names, *df.columns[len(names):])
-    return df
+    """Delimited text without quoting: a quote is a character like any other
+    and an empty string stays one.  With a schema, a value that does not cast
+    is null and a short row is padded with nulls (the row stays).  Without
+    one, fields are strings named ``_c0, _c1, ...`` (or ``names``), as many as
+    the first line has."""
+    lines = spark.read.text(path)
+    parts = F.split("value", quoted(sep), -1)
+    if schema is None:
+        first = lines.select(F.size(parts).alias("n")).first()
+        names = [*(names or [])]
+        names += [f"_c{i}" for i in range(len(names), first.n if first else 0)]
+        return lines.select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
+    return lines.select(*[_typed(F.get(parts, i), f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+
+
+def _typed(raw: Column, to: T.DataType) -> Column:
+    return raw if isinstance(to, T.StringType) else raw.try_cast(to)
 
 
 def nested_columns(line: Column, spec: Sequence[tuple[str, str, str]]) -> list[Column]:
@@ -128,22 +136,39 @@ def render_nested(cols: Sequence[Column]) -> Column:
 
 # --- line-oriented Hadoop formats -------------------------------------------------
 
-def lines_with_offsets(spark: SparkSession, path: str) -> DataFrame:
-    """(offset, line): byte offset of each line within its file.
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file, split and place; a carriage return before the line feed is in ``raw`` only."""
+    return (spark.read.option("lineSep", "\n").text(path)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.col("value").alias("raw"), F.monotonically_increasing_id().alias("place"))
+            .withColumn("line", F.regexp_replace("raw", r"\r$", "")))
+
+
+def _before_in_file(lines: DataFrame, amount: Column, name: str) -> DataFrame:
+    """``name``: the sum of ``amount`` over all earlier lines of the file, in two levels.
+
+    Splits of a file follow each other and each is read by one task, so a
+    running sum inside the split and one total for each split are enough; a
+    file's lines are never sorted as a whole.
+    """
+    inner = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (lines.groupBy("file", "block").agg(F.sum(amount).alias("_total"))
+              .select("file", "block", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_start")))
+    return (lines.withColumn("_inner", F.coalesce(F.sum(amount).over(inner), F.lit(0))).join(totals, ["file", "block"])
+            .withColumn(name, (F.col("_start") + F.col("_inner")).cast("long")).drop("_start", "_inner"))
 
-    Uses the Hadoop text input format (file splits, no single task)."""
-    rdd = spark.sparkContext.newAPIHadoopFile(
-        path, "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
-        "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
-    schema = T.StructType([T.StructField("offset", T.LongType()),
-                           T.StructField("line", T.StringType())])
-    return spark.createDataFrame(rdd, schema)
+
+def lines_with_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """(offset, line): byte offset of each line within its file."""
+    lines = _placed_lines(spark, path)
+    return _before_in_file(lines, F.octet_length("raw") + 1, "offset").select("offset", "line")
 
 
 def key_value_lines(lines: DataFrame, col: str = "value", sep: str = "\t") -> DataFrame:
     """Split each line at the first separator: (key, value); no separator ->
     the whole line is the key and the value is empty."""
-    parts = F.split(F.col(col), sep, 2)
+    parts = F.split(F.col(col), quoted(sep), 2)
     return lines.select(F.get(parts, 0).alias("key"),
                         F.coalesce(F.get(parts, 1), F.lit("")).alias("value"))
 
@@ -156,8 +181,6 @@ def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     the partition into a starting offset, joined back as a broadcast.  No
     single-task window over the data, no Python rows.
     """
-    from pyspark.sql import Window
-
     d = (df.withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
     counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -170,14 +193,14 @@ def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
 
 
 def n_line_batches(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """(batch, line_no, line): consecutive groups of ``n`` lines per batch.
+    """(file, batch, line_no, line): consecutive groups of ``n`` lines of one file.
 
-    Line numbers come from :func:`with_row_index`; rows are then
-    hash-partitioned by batch so each batch is one unit of work.
+    Lines and batches are numbered from 0 in each file; rows are then
+    hash-partitioned by file and batch, so each batch is one unit of work.
     """
-    lines = with_row_index(spark.read.text(path), "line_no").withColumnRenamed("value", "line")
-    return (lines.withColumn("batch", (F.col("line_no") / n).cast("long"))
-            .repartition("batch").select("batch", "line_no", "line"))
+    lines = _before_in_file(_placed_lines(spark, path), F.lit(1), "line_no")
+    return (lines.withColumn("batch", F.floor(F.col("line_no") / n).cast("long"))
+            .repartition("file", "batch").select("file", "batch", "line_no", "line"))
 
 
 def whole_files(spark: SparkSession, path: str, as_text: bool = True) -> DataFrame:
@@ -187,11 +210,6 @@ def whole_files(spark: SparkSession, path: str, as_text: bool = True) -> DataFra
     return df.select("path", content.alias("content"), "length")
 
 
-def with_path(df: DataFrame) -> DataFrame:
-    """Add the source file path of each row (file-source metadata)."""
-    return df.withColumn("file_path", F.col("_metadata.file_path"))
-
-
 def path_filter(df: DataFrame, include: str | None = None, exclude: str | None = None) -> DataFrame:
     """Keep rows whose file path matches ``include`` and not ``exclude``."""
     p = F.col("_metadata.file_path")
@@ -217,6 +235,21 @@ def date_range_filter(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.where(d.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
 
 
+def partition_date_range(df: DataFrame, start: str, end: str, year: str = "y", month: str = "m",
+                         day: str = "d") -> DataFrame:
+    """Rows dated in [start, end] under year and month folders.
+
+    The folder columns get a predicate of their own (year * 100 + month), so
+    folders outside the range are pruned at planning; the day is compared in
+    the files that are left.
+    """
+    (y1, m1, _), (y2, m2, _) = (map(int, s.split("-")) for s in (start, end))
+    folder = F.col(year) * 100 + F.col(month)
+    date = F.make_date(F.col(year).cast("int"), F.col(month).cast("int"), F.col(day).cast("int"))
+    return df.where(folder.between(y1 * 100 + m1, y2 * 100 + m2)).where(
+        date.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
 def sequence_file(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
     """(key, value) pairs of a SequenceFile as a DataFrame."""
     rdd = spark.sparkContext.sequenceFile(path)
@@ -227,16 +260,16 @@ def sequence_file(spark: SparkSession, path: str, key: str = "key", value: str =
 
 def parse_import_csv(spark: SparkSession, path: str, schema: T.StructType,
                      sep: str = ",") -> DataFrame:
-    """CSV written by a table import.
+    """Text written by a table import, without quoting.
 
-    The literal ``null`` means null for strings; an empty field means null
-    for non-strings; a row with a value that does not cast is skipped.
+    The literal ``null`` means null for strings, and an empty string stays
+    empty; an empty field means null for non-strings; a row with a value that
+    does not cast is skipped.
     """
-    raw = spark.read.option("sep", sep).schema(
-        T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
+    parts = F.split("value", quoted(sep), -1)
     cols, ok = [], F.lit(True)
-    for f in schema.fields:
-        c = F.col(f.name)
+    for i, f in enumerate(schema.fields):
+        c = F.get(parts, i)
         if isinstance(f.dataType, T.StringType):
             cols.append(F.when(c != "null", c).alias(f.name))
             continue
@@ -244,4 +277,4 @@ def parse_import_csv(spark: SparkSession, path: str, schema: T.StructType,
         typed = v.try_cast(f.dataType)
         ok = ok & (v.isNull() | typed.isNotNull())
         cols.append(typed.alias(f.name))
-    return raw.where(ok).select(*cols)
+    return spark.read.text(path).where(ok).select(*cols)

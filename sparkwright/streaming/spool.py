@@ -43,8 +43,7 @@ def envelope(df: DataFrame, body: str = "value", headers: dict[str, Column] | No
 
 
 def run_to_files(df: DataFrame, out: str, fmt: str = "text", checkpoint: str | None = None,
-                 partition_by: list[str] | None = None, options: dict | None = None,
-                 timeout_s: int = 600) -> str:
+                 partition_by: list[str] | None = None, options: dict | None = None) -> str:
     """Run a streaming frame into a file sink until the input is drained."""
     spark = df.sparkSession
     ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
@@ -54,19 +53,12 @@ def run_to_files(df: DataFrame, out: str, fmt: str = "text", checkpoint: str | N
         w = w.option(k, v)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(out)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not drain in time")
-    if q.exception():
-        raise q.exception()
+    w.start(out).awaitTermination()      # ends when all is read; raises what failed
     return out
 
 
 def run_fanout(df: DataFrame, required: Callable[[DataFrame, int], None],
-               optional: list[Callable[[DataFrame, int], None]], checkpoint: str | None = None,
-               timeout_s: int = 600) -> list[str]:
+               optional: list[Callable[[DataFrame, int], None]], checkpoint: str | None = None) -> list[str]:
     """Replicate each micro-batch to several sinks.
 
     The required sink's failure fails the batch (and the query, which
@@ -89,19 +81,6 @@ def run_fanout(df: DataFrame, required: Callable[[DataFrame, int], None],
         finally:
             batch.unpersist()
 
-    q = (df.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not drain in time")
-    if q.exception():
-        raise q.exception()
+    (df.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
+     .trigger(availableNow=True).start().awaitTermination())
     return ignored
-
-
-def print_stream(df: DataFrame, rows: int = 20, timeout_s: int = 600) -> None:
-    """Print events to the driver's console (for inspection only)."""
-    q = (df.writeStream.format("console").option("numRows", rows).option("truncate", False)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)

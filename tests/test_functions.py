@@ -61,6 +61,14 @@ def test_map_combine_reduce_scripts(spark):
             ("1949", 78.0, 1), ("1949", 500.0, 2)]
     df = spark.createDataFrame(rows, "year string, temperature double, quality int").repartition(3)
     out = TR.map_combine_reduce(df, "year", "temperature", "quality",
-                                TR.script_command("max_temp_map.py"),
-                                TR.script_command("max_temp_reduce.py"), "max_t")
+                                TR.script_command(spark, "max_temp_map.py"),
+                                TR.script_command(spark, "max_temp_reduce.py"), "max_t")
     assert sorted((r.year, r.max_t) for r in out.collect()) == [("1949", 111.0), ("1950", 22.0)]
+
+
+def test_strip_takes_tabs_and_newlines(spark):
+    from sparkwright.functions import scalar as X
+    from sparkwright.functions.udfs import register_sql_functions
+    register_sql_functions(spark)
+    df = spark.createDataFrame([("\t a b \n",)], "s string")
+    assert df.select(X.strip("s"), F.expr("STRIP(s)"), F.expr("strip(s, '\t')")).first()[:2] == ("a b", "a b")

@@ -188,18 +188,64 @@ def test_pagerank_golden(spark):
     assert scores == {"A": 0.9922, "B": 1.4263, "C": 0.7485, "D": 1.3535, "E": 0.9795, "F": 0.5}
 
 
-def test_cross_needs_bounded_inputs(spark):
-    from sparkwright.sources.containers import from_values
-    a = from_values(spark, [(1,), (2,)], "x int")
-    b = from_values(spark, [("p",), ("q",), ("r",)], "y string")
-    assert J.cross(a, b).count() == 6
-    with pytest.raises(ValueError):
-        J.cross(spark.range(20), b, max_rows=10)
-
-
 def test_checked_broadcast(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    assert J.fits(small, 5) and not J.fits(big, 5)
-    plan = big.join(J.checked_broadcast(small, 10), "id")._jdf.queryExecution().toString()
+    small, big = spark.range(5), spark.range(100)
+    plan = big.join(J.checked_broadcast(small), "id")._jdf.queryExecution().toString()
     assert "Broadcast" in plan
+    assert J.estimated_bytes(small) == 40
+    plan = big.join(J.checked_broadcast(small, 39), "id")._jdf.queryExecution().analyzed().toString()
+    assert "UnresolvedHint" not in plan and "ResolvedHint" not in plan
+
+
+def test_merge_keeps_fractions(spark):
+    a = spark.createDataFrame([("k", 1.7, 2)], "key string, x double, n int")
+    b = spark.createDataFrame([("k", 0.7, 3), ("m", 0.5, 1)], "key string, x double, n int")
+    got = {r.key: (r.n, round(r.x, 6)) for r in J.merge_by_key([a, b], "key").collect()}
+    assert got == {"k": (5, 2.4), "m": (1, 0.5)}
+    mixed = J.merge_by_key([a.drop("n"), b.select("key", F.col("n").alias("x"))], "key")
+    assert dict(mixed.dtypes)["x"] == "double"
+
+
+def test_cogroup_null_keys_of_both_sides_stay_apart(spark):
+    a = spark.createDataFrame([(None, "p"), (1, "q")], "k int, v string")
+    b = spark.createDataFrame([(None, "r"), (1, "s")], "k int, w string")
+    outer = B.cogroup(a, "k", ["v"], b, "k", ["w"]).collect()
+    assert sorted(([x.v for x in r.a], [x.w for x in r.b]) for r in outer) == [([], ["r"]), (["p"], []), (["q"], ["s"])]
+    inner = B.cogroup(a, "k", ["v"], b, "k", ["w"], inner_a=True, inner_b=True).collect()
+    assert [r.key for r in inner] == [1]
+
+
+def test_stored_null_is_not_replaced_by_the_default(spark, tmp_path):
+    path = str(tmp_path / "n")
+    spark.createDataFrame([("L", None), ("M", "R")], "left string, right string").write.parquet(path)
+    reader = T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType())])
+    got = P.read_parquet_as(spark, path, reader, defaults={"right": "d"}).orderBy("left").collect()
+    assert [r.right for r in got] == [None, "R"]
+
+
+def test_order_check_sees_disorder(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 1000).alias("a"), F.when(F.col("id") % 9 > 0, F.col("id")).alias("b"))
+    for cols, up in ((["a"], [True]), (["a", "b"], [True, False]), (["b"], [False])):
+        good = O.order_check(O.order_by(df, cols, up), cols, up).first()
+        assert tuple(good) == (5000, 0)
+        assert O.order_check(df, cols, up).first().inversions > 100
+    local = df.repartition(3, "a").sortWithinPartitions("a")
+    assert O.order_check(local, ["a"], across=False).first().inversions == 0
+    assert O.order_check(local, ["a"]).first().inversions > 0
+
+
+def test_equal_rows_are_cut_between_partitions(spark):
+    lines = spark.range(0, 20000, numPartitions=4).select(F.when(F.col("id") % 2 == 0, "1\tx").otherwise("2\tx").alias("line"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r.n for r in O.partition_sizes(O.field_spec_sort(lines, "line", "-k1n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 7000
+
+
+def test_pagerank_needs_an_end(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    with pytest.raises(ValueError):
+        pagerank(edges, tol=0.0)
+    assert pagerank(edges, rounds=3)[1] == 3

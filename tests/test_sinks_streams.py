@@ -91,8 +91,80 @@ def test_by_key_folders(spark, tmp_path):
     assert spark.read.parquet(out).where("station = 'a'").count() == 2
 
 
-def test_print_stream_runs(spark, tmp_path, capsys):
+def test_best_effort_sink_holds_the_batches_it_could_write(spark, tmp_path):
     src = tmp_path / "spool"
     src.mkdir()
-    (src / "a.txt").write_text("hello\n")
-    T.print_stream(T.spool_source(spark, str(src)).select("value"))
+    for i in range(3):
+        (src / f"f{i}.txt").write_text(f"line{i}\n")
+    req, opt = str(tmp_path / "req"), str(tmp_path / "opt")
+
+    def store(path):
+        def sink(b, i):
+            b.write.mode("overwrite").text(f"{path}/batch_id={i}")
+        return sink
+
+    def down_at_first(b, i):
+        if i == 0:
+            raise RuntimeError("sink down")
+        store(opt)(b, i)
+
+    s = T.spool_source(spark, str(src), max_files_per_trigger=1).select("value")
+    ignored = T.run_fanout(s, store(req), [down_at_first], checkpoint=str(tmp_path / "ck"))
+    assert len(ignored) == 1
+    assert (spark.read.text(req).count(), spark.read.text(opt).count()) == (3, 2)
+
+
+def test_half_written_copy_is_written_anew(spark, tmp_path):
+    path = tmp_path / "half"
+    spark.range(3).write.parquet(str(path))
+    (path / "_SUCCESS").unlink()
+    assert K.checkpointed(spark.range(7), str(path)).count() == 7
+    with pytest.raises(FileNotFoundError):
+        K.checkpointed(spark.range(7), str(path), inputs=[str(tmp_path / "no-such")])
+
+
+def test_no_quoting_in_delimited_text(spark, tmp_path, tmp_text):
+    from sparkwright.sources import text as S
+    from pyspark.sql import types as ST
+    schema = ST.StructType([ST.StructField(c, ST.StringType()) for c in "abc"])
+    got = S.load_delimited(spark, tmp_text(["1\t\"ab\tc", "2\t\tx"]), "\t", schema).collect()
+    assert [tuple(r) for r in got] == [("1", '"ab', "c"), ("2", "", "x")]
+    out = str(tmp_path / "o")
+    K.delimited(spark.createDataFrame([("", 'q"q', None)], "a string, b string, c string"), out, sep="|")
+    assert [r.value for r in spark.read.text(out).collect()] == ['|q"q|']
+
+
+def test_show_partitions_and_hot_key_files(spark, tmp_path):
+    out = str(tmp_path / "p")
+    K.by_key(spark.range(100).select((F.col("id") % 3).alias("k"), "id"), out, ["k"])
+    assert sorted(r[0] for r in K.list_partitions(spark, out, ["k"]).collect()) == ["k=0", "k=1", "k=2"]
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from sparkwright.session import is_local, shared_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+            getConf = staticmethod(Conf)
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
+    assert is_local("local[4]") and not is_local("local-cluster[2,1,1024]")
+
+
+def test_cleanup_deletes_scratch(spark):
+    import os
+
+    from sparkwright.session import cleanup, scratch_path
+    path = scratch_path(spark, "tidy")
+    spark.range(1).write.parquet(path)
+    assert cleanup(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file:"))

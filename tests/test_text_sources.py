@@ -6,8 +6,7 @@ from pyspark.sql import types as T
 from sparkwright.sources import text as S
 from test_weather import NCDC
 
-POEM = ["On the top of the Crumpetty Tree", "The Quangle Wangle sat,",
-        "But his face you could not see,", "On account of his Beaver Hat."]
+LINES = ["A first line of text", "caf\u00e9 \u00e0 la carte", "", "the fourth and last one"]
 
 
 def test_cut_loader(spark, tmp_text):
@@ -33,9 +32,9 @@ def test_bad_range_spec():
 
 
 def test_byte_offsets(spark, tmp_text):
-    r = S.lines_with_offsets(spark, tmp_text(POEM)).orderBy("offset").collect()
-    assert [x.offset for x in r] == [0, 33, 57, 89]
-    assert r[1].line == POEM[1]
+    r = S.lines_with_offsets(spark, tmp_text(LINES)).orderBy("offset").collect()
+    assert [x.offset for x in r] == [0, 21, 39, 40]
+    assert [x.line for x in r] == LINES
 
 
 def test_key_value_lines(spark):
@@ -46,7 +45,7 @@ def test_key_value_lines(spark):
 
 
 def test_n_line_batches(spark, tmp_text):
-    b = S.n_line_batches(spark, tmp_text(POEM), 2).groupBy("batch").count().orderBy("batch").collect()
+    b = S.n_line_batches(spark, tmp_text(LINES), 2).groupBy("batch").count().orderBy("batch").collect()
     assert [(x.batch, x["count"]) for x in b] == [(0, 2), (1, 2)]
 
 
@@ -114,5 +113,42 @@ def test_row_index_contiguous_across_partitions(spark, tmp_text):
     idx = S.with_row_index(df).collect()
     assert sorted(r.row_index for r in idx) == list(range(1000))
     assert all(r.row_index == r.v for r in idx)  # range keeps read order
-    lines = S.with_row_index(spark.read.text(tmp_text(POEM))).orderBy("row_index").collect()
-    assert [r.value for r in lines] == POEM
+    lines = S.with_row_index(spark.read.text(tmp_text(LINES))).orderBy("row_index").collect()
+    assert [r.value for r in lines] == LINES
+
+
+def test_offsets_and_batches_of_several_files(spark, tmp_path):
+    for name in ("b", "a"):
+        (tmp_path / f"{name}.txt").write_bytes(b"".join(f"{name}{i}".encode() * 9 + (b"\r\n" if i % 2 else b"\n") for i in range(500)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")     # several splits of each file
+    try:
+        want = {}
+        for name in "ab":
+            data, at = (tmp_path / f"{name}.txt").read_bytes(), 0
+            for line in data.splitlines(keepends=True):
+                want[line.rstrip().decode()] = at
+                at += len(line)
+        offsets = S.lines_with_offsets(spark, str(tmp_path))
+        assert {r.line: r.offset for r in offsets.collect()} == want
+        assert "Python" not in offsets._jdf.queryExecution().toString()
+        got = S.n_line_batches(spark, str(tmp_path), 3).collect()
+        assert all(r.line == f"{r.line[0]}{r.line_no}" * 9 and r.batch == r.line_no // 3 and r.file.endswith(f"{r.line[0]}.txt") for r in got)
+        assert len({(r.file, r.batch) for r in got}) == 2 * 167
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_regex_alternation_is_anchored_whole(spark, tmp_text):
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    r = S.load_regex(spark, tmp_text(["axx", "a", "b"]), "(a)|(b)", schema).collect()
+    assert [tuple(x) for x in r] == [(None, None), ("a", ""), ("", "b")]
+
+
+def test_separators_are_literal(spark):
+    df = spark.createDataFrame([("k|v|w",)], "value string")
+    assert tuple(S.key_value_lines(df, sep="|").first()) == ("k", "v|w")
+
+
+def test_import_keeps_empty_strings(spark, tmp_text):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    assert [tuple(r) for r in S.parse_import_csv(spark, tmp_text(["1,", "2,null"]), schema).collect()] == [(1, ""), (2, None)]
