@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +67,26 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for a context.
+
+    Functions that run in Python workers are imported there by name.  The
+    package's files go as one archive through Spark's own file distribution.
+    """
+    sc, root = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_sparkwright_shipped", False) or not os.path.isdir(root):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="sparkwright-code-"), f"{os.path.basename(root)}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if not name.endswith(".pyc"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._sparkwright_shipped = True
+
+
 def is_local(master: str) -> bool:
     """One machine, one process: ``local``, ``local[4]``, but not ``local-cluster``."""
     return master == "local" or master.startswith("local[")

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sparkwright.session import build_session  # noqa: E402
+from sparkwright.session import build_session, cleanup  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sw-test-ckpt-"))
     yield s
+    cleanup(s)
 
 
 @pytest.fixture()
