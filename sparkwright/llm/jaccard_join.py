@@ -162,10 +162,10 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
             .select("x", "y", "p", "q").mapInArrow(common, "x long, y long, linked boolean").checkpoint())
 
 
-def _possible(percent: int) -> str:
-    """Length and positional bounds of two entries (n, pos) and (m, at) of a posting list."""
-    return (f"100 * least(n, m) >= {percent} * greatest(n, m) and "
-            f"{100 + percent} * (1 + least(n - pos - 1, m - at - 1)) >= {percent} * (n + m)")
+def _possible(percent: int, n: str, pos: str, m: str, at: str) -> str:
+    """Length and positional bounds of two entries of a posting list: sizes n and m, places pos and at."""
+    return (f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m}) and "
+            f"{100 + percent} * (1 + least({n} - {pos} - 1, {m} - {at} - 1)) >= {percent} * ({n} + {m})")
 
 
 def _few_differ(a: str, b: str, n: str, m: str, percent: int) -> str:
@@ -186,9 +186,8 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
     # A smaller set is linked with equal ones only.
     large = sets.where(f"100 * n >= {percent} * (n + 1)")
     groups = large.groupBy("g1", "g2").agg(F.min("row").alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    classes = (large.groupBy("s1", "s2").agg(F.min("row").alias("cls"), F.first("g1").alias("g1"), F.first("g2").alias("g2"),
-                                                 F.first("bits").alias("bits"), F.first("n").alias("n"))
-               .join(groups.select("g1", "g2", "g"), ["g1", "g2"]).select("cls", "g", "n", "bits"))
+    classes = (large.groupBy("s1", "s2").agg(F.min("row").alias("cls"), F.first("g1").alias("g1"), F.first("g2").alias("g2"), F.first("n").alias("n"))
+               .join(groups.select("g1", "g2", "g"), ["g1", "g2"]).select("cls", "g", "n"))
     entries = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
     pick = F.struct(F.xxhash64("g", F.col("token").bitwiseAND(HUBS - 1)), "g", "n", "pos")
     hubs = (entries.groupBy("token").agg(F.count("*").alias("times"), F.min(pick).alias("hub"))
@@ -196,7 +195,7 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
     lists = entries.join(hubs, "token").checkpoint()
 
     # Each group with the hubs of its lists; each class with the first class of its group.
-    stars = lists.where(f"g <> h and {_possible(percent)}").select("g", "h").distinct()
+    stars = lists.where(f"g <> h and {_possible(percent, 'n', 'pos', 'm', 'at')}").select("g", "h").distinct()
     many = classes.where("cls <> g")
     tried = (classes.join(stars, "g").select(F.col("cls").alias("x"), F.col("h").alias("y"))
              .unionByName(many.select(F.col("cls").alias("x"), F.col("g").alias("y")))
@@ -207,17 +206,18 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
 
     # What is left between components.
     named = (classes.join(label.withColumnRenamed("node", "cls"), "cls", "left")
-             .withColumn("c", F.coalesce("component", "cls")).select("cls", "g", "c", "n", "bits").checkpoint())
+             .withColumn("c", F.coalesce("component", "cls")).select("cls", "g", "c", "n").checkpoint())
     own = lists.select("token", "g", "pos").join(named, "g")
     open_ = own.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-    left = own.join(open_, "token").select("token", "cls", "c", "n", "pos", "bits").checkpoint()
-    other = left.select(F.col("token").alias("t"), F.col("cls").alias("y"), F.col("c").alias("d"),
-                        F.col("n").alias("m"), F.col("pos").alias("at"), F.col("bits").alias("flips"))
-    across = left.join(other, F.expr(f"token = t and c < d and {_possible(percent)} and {_few_differ('bits', 'flips', 'n', 'm', percent)}"))
-    several = named.join(many.select("g").distinct(), "g")
+    bits = sets.select(F.col("row").alias("cls"), "bits")
+    left = own.join(open_, "token").join(bits, "cls").select("token", "cls", "c", "n", "pos", "bits")
+    across = left.alias("a").join(left.alias("b"), F.expr(
+        f"a.token = b.token and a.c < b.c and {_possible(percent, 'a.n', 'a.pos', 'b.n', 'b.pos')} and "
+        f"{_few_differ('a.bits', 'b.bits', 'a.n', 'b.n', percent)}"))
+    several = named.join(many.select("g").distinct(), "g").join(bits, "cls")
     same_group = (several.alias("a").join(several.alias("b"), F.expr(f"a.g = b.g and a.c < b.c and {_few_differ('a.bits', 'b.bits', 'a.n', 'b.n', percent)}"))
                   .select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")))
-    rest = (across.select(F.col("cls").alias("x"), "y").unionByName(same_group)
+    rest = (across.select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")).unionByName(same_group)
             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
             .join(checked.select("x", "y"), ["x", "y"], "left_anti").checkpoint())
     late = _verify(docs, rest, size, percent).where("linked").select("x", "y")
