@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from sparkwright.session import shared_dir
 
 from .components import components
-from .rows import numbered
+from .rows import numbered, release
 from .textops import U64, Batch, chunks, doc_ids, gram_hashes, mix
 
 SKETCH_BITS, SKETCH_PARTS, HUBS = 20, 64, 64
@@ -193,6 +193,7 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
     hubs = (entries.groupBy("token").agg(F.count("*").alias("times"), F.min(pick).alias("hub"))
             .where("times > 1").select("token", F.col("hub.g").alias("h"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("at")))
     lists = entries.join(hubs, "token").checkpoint()
+    release(spark)
 
     # Each group with the hubs of its lists; each class with the first class of its group.
     stars = lists.where(f"g <> h and {_possible(percent, 'n', 'pos', 'm', 'at')}").select("g", "h").distinct()
@@ -203,6 +204,7 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
     checked = _verify(docs, tried, size, percent)
     links = checked.where("linked").select("x", "y")
     label = components(links).checkpoint()
+    release(spark)
 
     # What is left between components.
     named = (classes.join(label.withColumnRenamed("node", "cls"), "cls", "left")
@@ -220,6 +222,7 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
     rest = (across.select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")).unionByName(same_group)
             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
             .join(checked.select("x", "y"), ["x", "y"], "left_anti").checkpoint())
+    release(spark)
     late = _verify(docs, rest, size, percent).where("linked").select("x", "y")
     joined = components(links.unionByName(late)).withColumnRenamed("node", "cls")
 

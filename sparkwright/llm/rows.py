@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.session import scratch_path
@@ -21,3 +23,13 @@ def numbered(documents: DataFrame, *columns) -> DataFrame:
         out.write.parquet(path)
         out = documents.sparkSession.read.parquet(path)
     return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are checkpointed or written.
+
+    Its cleaner waits for the driver's garbage collection, which may not come
+    before the next large shuffle does.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
