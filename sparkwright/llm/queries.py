@@ -158,3 +158,33 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
     return (dedup_lines(table(spark, sf_dir, "documents"))
             .selectExpr("doc_id", "n_lines", "n_removed", "sha2(text, 256) kept_sha256"))
+
+@query("op13_dual_tree_search", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT row_number() OVER () AS iid, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+g AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+q AS (SELECT iid, unnest(w) AS term FROM i),
+t AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY rid, term),
+v AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight
+  FROM t, g GROUP BY term),
+m AS (SELECT rid, 50 + (50 * len(w) * n_docs) // n_terms AS m FROM d, g WHERE len(w) > 0),
+s AS (
+  SELECT iid, rid, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN v USING (term) JOIN m USING (rid) GROUP BY iid, rid)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT iid, doc_id, score, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank
+      FROM s JOIN d USING (rid) WHERE score > 0) JOIN i USING (iid)
+WHERE rank <= 50
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ranked_search import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
