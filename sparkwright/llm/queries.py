@@ -188,3 +188,16 @@ WHERE rank <= 50
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ranked_search import search
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_importance_resampling")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resample
+    return (resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
+@query("op12_disclosure_sanitisation")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sanitise import digest, find_spans
+    return digest(find_spans(table(spark, sf_dir, "documents")))
