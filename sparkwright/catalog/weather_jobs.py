@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import state_aggregate as S
 from ..functions import transform as T
 from ..functions.udfs import MAXIMUM, MEAN, max_by_group, register_sql_functions
 from ..operators import aggregates as A
@@ -110,6 +111,29 @@ def user_max_mean(spark, sf):
         F.round(MEAN("c_acctbal"), 6).alias("mean_balance"))
 
 
+@query("user_state_by_year", """
+SELECT CAST(year(l_shipdate) AS INT) AS year, round(avg(l_extendedprice), 4) AS mean_price,
+       max(l_orderkey) AS max_order
+FROM lineitem GROUP BY 1""", "A13 A14 X05")
+def user_state_by_year(spark, sf):
+    """The mean and the maximum as aggregates with a state of their own: one binary state a key and task."""
+    li = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    mean = S.aggregate_states(li, ["year"], "l_extendedprice", S.Mean(), "mean_price")
+    top = S.aggregate_states(li, ["year"], "l_orderkey", S.Maximum(), "max_order")
+    return mean.withColumn("mean_price", F.round("mean_price", 4)).join(top, "year")
+
+
+@query("longest_daily_run", """
+WITH d AS (SELECT DISTINCT l_suppkey AS station_id, CAST(year(l_shipdate) AS INT) AS year, CAST(l_shipdate AS DATE) AS day FROM lineitem),
+r AS (SELECT station_id, year, day - CAST(row_number() OVER (PARTITION BY station_id, year ORDER BY day) AS INT) AS run FROM d)
+SELECT station_id, year, CAST(max(n) AS INT) AS days
+FROM (SELECT station_id, year, run, count(*) AS n FROM r GROUP BY 1, 2, 3) GROUP BY 1, 2""", "X05")
+def longest_daily_run(spark, sf):
+    """An aggregate that no built-in gives: most days in a row with a reading, by station and year."""
+    r = _readings(spark, sf).select("station_id", "year", F.col("observed_at").cast("date").alias("day"))
+    return S.aggregate_states(r, ["station_id", "year"], "day", S.LongestRun(), "days")
+
+
 @query("daily_max", f"""
 SELECT l_suppkey AS station_id, strftime(l_shipdate, '%Y-%m-%d') AS day,
        max(l_extendedprice) AS max_value
