@@ -2,4 +2,4 @@
 
 from .registry import REGISTRY, Entry, query  # noqa: F401
 from . import (weather_jobs, relational, rows_and_order, io_formats,  # noqa: F401
-               text_and_logs, pipelines)
+               text_and_logs, pipelines, layouts)
