@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..plans.analogs import lineitem_ncdc_fields
 from ..sinks import tables as K
+from ..sinks.compaction import compact_by_size
 from ..operators.ordering import order_check
 from ..session import scratch_path, table
 from ..sources import text as S
@@ -415,6 +416,27 @@ def small_file_compaction(spark, sf):
                       F.sum(F.length("content")).cast("long").alias("bytes"))
 
 
+@query("compaction_by_size", """
+SELECT count(*) AS pages, CAST(sum(strlen(replace(html, chr(10), ' ')) + 1) AS BIGINT) AS bytes, true AS within_target, true AS few
+FROM pages""", "K10")
+def compaction_by_size(spark, sf):
+    """Files of very different sizes, one of them with a third of the pages: outputs stay within 1.2 of the target."""
+    src, out = scratch_path(spark, "uneven"), scratch_path(spark, "by-size")
+    pages = table(spark, sf, "pages").select("page_id", F.regexp_replace("html", "\n", " ").alias("value"))
+    file = F.when(F.col("page_id") % 3 == 0, 0).otherwise(F.floor(F.sqrt(F.pmod(F.xxhash64("page_id"), F.lit(1600)))).cast("int"))
+    pages.repartitionById(40, file).select("value").write.text(src)
+    total = spark.read.format("binaryFile").load(src + "/*.txt").agg(F.sum("length")).first()[0]
+    target = total // 8
+    files = compact_by_size(spark, src + "/*.txt", out, target)
+    packed = spark.read.parquet(out).withColumn("output", F.col("_metadata.file_path"))
+    lines = F.filter(F.split(F.col("content").cast("string"), "\n"), lambda x: x != "")
+    size = F.sum(F.length("content"))
+    per = packed.groupBy("output").agg(size.alias("bytes"), F.count(F.lit(1)).alias("files"), F.sum(F.size(lines)).alias("pages"))
+    return per.agg(F.sum("pages").cast("long").alias("pages"), F.sum("bytes").cast("long").alias("bytes"),
+                   F.every((F.col("bytes") <= 1.2 * target) | (F.col("files") == 1)).alias("within_target"),
+                   ((F.count(F.lit(1)) == files) & (F.count(F.lit(1)) <= 14)).alias("few"))
+
+
 @query("table_overwrite", "SELECT p_partkey, p_name FROM part WHERE p_size >= 10", "K18")
 def table_overwrite(spark, sf):
     """Create, load, then overwrite a table: the second load replaces the first."""

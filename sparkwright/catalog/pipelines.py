@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..plans.pagerank import max_delta, pagerank
 from ..session import scratch_path, table
+from ..streaming import committed as M
 from ..streaming import spool as T
 from .registry import query
 
@@ -114,9 +116,10 @@ def shared_intermediate(spark, sf):
 _EVENT_SCHEMA = "event_id long, user_id long, event_type string"
 
 
-def _spool(spark, sf):
+def _spool(spark, sf, files=None):
     """Events dropped into a folder as JSON-lines files."""
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    e = e.repartition(files) if files else e
     path = scratch_path(spark, "spool")
     e.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
     return path
@@ -180,3 +183,33 @@ def stream_fanout(spark, sf):
     T.run_fanout(src, required, [down, best_effort])
     return (_payload(spark.read.text(required_path)).withColumn("sink", F.lit("required"))
             .unionByName(_payload(spark.read.text(optional_path)).withColumn("sink", F.lit("best effort"))))
+
+
+@query("stream_committed", """
+SELECT event_id, user_id, event_type, true AS in_batches FROM events""", "T06")
+def stream_committed(spark, sf):
+    """A stream whose readers go by a manifest: a batch that is written and not committed is not seen.
+
+    The run fails between the write and the commit of its second batch and is
+    started again; every row is there once.
+    """
+    out, checkpoint, failed = scratch_path(spark, "committed"), scratch_path(spark, "committed-ckpt"), []
+
+    def fail_once(number):
+        if number == 1 and not failed:
+            failed.append(number)
+            raise ConnectionError("lost before the commit")
+
+    folder = _spool(spark, sf, 8)
+
+    def run():
+        return M.run_committed(T.spool_source(spark, folder, max_files_per_trigger=3).select("value"), out, checkpoint, fail_once)
+
+    try:
+        run()
+    except StreamingQueryException:
+        assert failed and [r.batch for r in M.read_committed(spark, out).select("batch").distinct().collect()] == [0]
+    batches = run()
+    seen = M.read_committed(spark, out)
+    return (seen.select(F.from_json("value", _EVENT_SCHEMA).alias("e"), "batch")
+            .select("e.*", F.col("batch").between(0, batches - 1).alias("in_batches")))

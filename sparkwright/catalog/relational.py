@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import bags as B
+from ..operators import chunked_bags as C
 from ..operators import joins as J
 from ..sinks.tables import sorted_lookup_file
 from ..session import scratch_path, table
@@ -368,3 +369,75 @@ def cogroup_null_keys(spark, sf):
     sizes = g.select(F.size("customers").alias("n"), F.size("orders").alias("m"))
     total = sizes.agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum(F.when((F.col("n") > 0) & (F.col("m") > 0), F.col("n") + F.col("m")).otherwise(0)).alias("b"))
     return total.select(F.expr("stack(3, 'customers', n, 'orders', m, 'both', b) as (side, rows)"))
+
+
+# --- bags of any size: chunks ----------------------------------------------------
+
+@query("bag_chunks", """
+SELECT l_returnflag, (rn - 1) // 5000 AS chunk, CAST((rn - 1) % 5000 AS INT) AS pos, l_orderkey, l_linenumber
+FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem)""", "A04 P24")
+def bag_chunks(spark, sf):
+    """Three keys that hold all rows between them: bags in chunks of 5,000, flattened with their places."""
+    bags = C.group_to_chunks(table(spark, sf, "lineitem"), "l_returnflag", ["l_orderkey", "l_linenumber"], 5000)
+    return bags.select("l_returnflag", "chunk", F.posexplode("bag").alias("pos", "r")).select("l_returnflag", "chunk", "pos", "r.*")
+
+
+@query("bag_chunk_sizes", """
+SELECT l_returnflag, count(*) AS n, true AS full FROM lineitem GROUP BY 1""", "A04 A22")
+def bag_chunk_sizes(spark, sf):
+    """No array is over the bound; all chunks of a key but the last are full."""
+    bags = C.group_to_chunks(table(spark, sf, "lineitem"), "l_returnflag", ["l_orderkey"], 1000)
+    size = F.size("bag")
+    return bags.groupBy("l_returnflag").agg(F.sum(size).cast("long").alias("n"), (
+        (F.max(size) <= 1000) & (F.count_if(size < 1000) <= 1) & (F.max("chunk") + 1 == F.count(F.lit(1)))).alias("full"))
+
+
+@query("collect_chunks", """
+SELECT o_orderstatus, (rn - 1) // 2000 AS chunk, string_agg(CAST(o_custkey AS VARCHAR), ';' ORDER BY rn) AS customers
+FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey) AS rn FROM orders) GROUP BY 1, 2""", "A19")
+def collect_chunks(spark, sf):
+    v = C.collect_chunks(table(spark, sf, "orders"), "o_orderstatus", "o_custkey", 2000, "customers")
+    return v.withColumn("customers", F.array_join(F.transform("customers", lambda x: x.cast("string")), ";"))
+
+
+_COGROUP_CHUNKS = """
+WITH a AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i FROM customer WHERE c_nationkey <> 3),
+b AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS i FROM supplier WHERE s_nationkey <> 5),
+ac AS (SELECT c_nationkey AS nation, i // 5 AS chunk, string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY i) AS customers FROM a GROUP BY 1, 2),
+bc AS (SELECT s_nationkey AS nation, i // 5 AS chunk, string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY i) AS suppliers FROM b GROUP BY 1, 2)
+SELECT nation, chunk, coalesce(customers, '') AS customers, coalesce(suppliers, '') AS suppliers
+FROM ac FULL JOIN bc USING (nation, chunk)"""
+
+
+def _cogroup_chunks(spark, sf, **inner):
+    c = table(spark, sf, "customer").where("c_nationkey <> 3")
+    s = table(spark, sf, "supplier").where("s_nationkey <> 5")
+    g = C.cogroup_chunks(c, "c_nationkey", ["c_custkey"], s, "s_nationkey", ["s_suppkey"], "nation", bound=5, **inner)
+
+    def text(bag, field):
+        return F.array_join(F.transform(bag, lambda x: x[field].cast("string")), ",")
+    return g.select("nation", "chunk", text("a", "c_custkey").alias("customers"), text("b", "s_suppkey").alias("suppliers"))
+
+
+@query("cogroup_chunks_outer", _COGROUP_CHUNKS, "J12")
+def cogroup_chunks_outer(spark, sf):
+    """Customers and suppliers by nation, five at a time side by side; a nation may lack either."""
+    return _cogroup_chunks(spark, sf)
+
+
+@query("cogroup_chunks_inner", _COGROUP_CHUNKS + """
+WHERE nation IN (SELECT c_nationkey FROM a) AND nation IN (SELECT s_nationkey FROM b)""", "J13")
+def cogroup_chunks_inner(spark, sf):
+    return _cogroup_chunks(spark, sf, inner_a=True, inner_b=True)
+
+
+@query("cogroup_chunks_flatten_one", """
+WITH b AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i FROM customer),
+bc AS (SELECT c_nationkey AS nation, i // 50 AS chunk, CAST(count(*) AS INT) AS n, sum(c_custkey) AS keys FROM b GROUP BY 1, 2)
+SELECT nation, s_suppkey, chunk, n, keys FROM supplier JOIN bc ON s_nationkey = nation""", "J14")
+def cogroup_chunks_flatten_one(spark, sf):
+    """Each supplier with the bag of its nation's customers, in chunks of 50."""
+    f = C.flatten_one(table(spark, sf, "supplier"), "s_nationkey", ["s_suppkey"],
+                      table(spark, sf, "customer"), "c_nationkey", ["c_custkey"], "nation", 50, "customers")
+    total = F.aggregate(F.transform("customers", lambda x: x["c_custkey"]), F.lit(0).cast("long"), lambda s, x: s + x)
+    return f.select("nation", "s_suppkey", "chunk", F.size("customers").alias("n"), total.alias("keys"))

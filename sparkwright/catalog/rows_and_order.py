@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators import ordering as O
 from ..operators import projection as P
+from ..operators import schema_resolution as N
 from ..operators import sets as U
 from ..sinks.tables import bucketed_table, parquet
 from ..session import scratch_path, table
@@ -378,3 +379,37 @@ def random_sample_check(spark, sf):
 @query("random_sample", None, "U06")
 def random_sample(spark, sf):
     return U.random_sample(table(spark, sf, "customer"), 0.5, seed=7)
+
+
+# --- nested reader schemas -------------------------------------------------------
+
+@query("nested_reader_schema", """
+SELECT event_id, user_id AS who, event_type AS kind, 'unknown' AS source, CAST(value AS DOUBLE) AS amount,
+       [upper(event_type), 'x'] AS labels, TRY_CAST(regexp_extract(props, '"k": (\\d+)', 1) AS DOUBLE) AS k, true AS whole
+FROM events""", "P18 P19 P20")
+def nested_reader_schema(spark, sf):
+    """Events stored as nested records, read through a schema that renames, widens, adds and drops at depth."""
+    e = table(spark, sf, "events")
+    k = F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("int")
+    path = scratch_path(spark, "nested")
+    e.select("event_id", F.struct(F.col("user_id").cast("int").alias("id"), F.col("event_type").alias("type"), "props").alias("user"),
+             F.struct(F.col("value"), F.array(F.struct(F.upper("event_type").alias("name"), F.lit(1).alias("rank")),
+                                              F.struct(F.lit("x").alias("name"), F.lit(2).alias("rank"))).alias("tags")).alias("body"),
+             F.create_map(F.lit("k"), k).alias("attributes")).write.parquet(path)
+    S = T.StringType()
+    reader = T.StructType([
+        N.reader_field("event_id", T.LongType()),
+        N.reader_field("person", T.StructType([
+            N.reader_field("number", T.LongType(), former=["id"]), N.reader_field("kind", S, former=["type"]),
+            N.reader_field("source", S, nullable=False, default="unknown")]), former=["user"]),
+        N.reader_field("body", T.StructType([
+            N.reader_field("amount", T.DoubleType(), former=["value"]),
+            N.reader_field("tags", T.ArrayType(T.StructType([
+                N.reader_field("label", S, former=["name"]), N.reader_field("note", S),
+                N.reader_field("weights", T.ArrayType(T.IntegerType()), default=[1, 2])])))])),
+        N.reader_field("attributes", T.MapType(S, T.DoubleType()))])
+    r = N.read_as(spark.read.parquet(path), reader)
+    whole = F.forall("body.tags", lambda t: t["note"].isNull() & (t["weights"] == F.array(F.lit(1), F.lit(2))))
+    return r.select("event_id", F.col("person.number").alias("who"), F.col("person.kind").alias("kind"), F.col("person.source").alias("source"),
+                    F.col("body.amount").alias("amount"), F.transform("body.tags", lambda t: t["label"]).alias("labels"),
+                    F.col("attributes")["k"].alias("k"), whole.alias("whole"))

@@ -9,6 +9,7 @@ from ..functions import scalar as X
 from ..functions.row_function import count_phrases
 from ..functions.udfs import invoke, register_sql_functions
 from ..operators import aggregates as A
+from ..operators import distinct_sets as D
 from ..operators.ordering import first_per_group
 from ..plans.analogs import event_listens
 from ..sinks.tables import keyed_table, latest_cells
@@ -307,3 +308,46 @@ def random_values(spark, sf):
     return r.agg(n.alias("rows"), (F.count_if((F.col("r") >= 0) & (F.col("r") < 1)) == n).alias("in_range"),
                  (F.abs(F.avg("r") - 0.5) < 0.1).alias("mean_near_half"),
                  (F.count_distinct("r") > 0.99 * n).alias("all_differ"))
+
+
+# --- distinct sets that are kept by day -------------------------------------------
+
+_PERIODS = (("all", None, None), ("first week", "2024-01-01", "2024-01-07"), ("later", "2024-01-10", None))
+
+
+def _listener_sets(spark, sf):
+    """Listeners by track and day, read from the log once and stored."""
+    e = table(spark, sf, "events")
+    is_listen = F.col("event_type").isin("view", "click")
+    track = F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("int")
+    log = e.where(is_listen).select("user_id", "ts", track.alias("track_id")).where(F.col("track_id").isNotNull())
+    path = scratch_path(spark, "listener-sets")
+    D.daily_sets(log, ["track_id"], F.col("ts"), "user_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+_TRACK_DAYS = """
+WITH l AS (SELECT user_id, CAST(ts AS DATE) AS day, TRY_CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INT) AS track_id
+           FROM events WHERE event_type IN ('view', 'click'))"""
+
+
+@query("listeners_by_period", _TRACK_DAYS + """
+SELECT period, track_id, count(DISTINCT user_id) AS listeners
+FROM l, (VALUES ('all', DATE '0001-01-01', DATE '9999-01-01'), ('first week', DATE '2024-01-01', DATE '2024-01-07'),
+                ('later', DATE '2024-01-10', DATE '9999-01-01')) p(period, a, b)
+WHERE track_id IS NOT NULL AND day BETWEEN a AND b GROUP BY 1, 2""", "A29 A08")
+def listeners_by_period(spark, sf):
+    """Unique listeners of each track in three periods, all from one stored table of bitmaps."""
+    sets = _listener_sets(spark, sf)
+    parts = [D.distinct_counts(sets, ["track_id"], first, last, "listeners").withColumn("period", F.lit(name))
+             for name, first, last in _PERIODS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("returning_listeners", _TRACK_DAYS + """
+SELECT track_id, count(*) AS returning FROM (
+  SELECT DISTINCT track_id, user_id FROM l WHERE track_id IS NOT NULL AND day <= DATE '2024-01-09'
+  INTERSECT SELECT track_id, user_id FROM l WHERE day >= DATE '2024-01-10') GROUP BY 1""", "A29")
+def returning_listeners(spark, sf):
+    """Listeners of a track in both of two periods."""
+    return D.returning_counts(_listener_sets(spark, sf), ["track_id"], (None, "2024-01-09"), ("2024-01-10", None), "returning")

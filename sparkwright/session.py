@@ -93,11 +93,20 @@ def is_local(master: str) -> bool:
 
 
 _made: list[str] = []
+_tables: list[str] = []
+
+
+def table_name(base: str) -> str:
+    """A new catalog name for an intermediate table; ``cleanup`` drops it."""
+    _tables.append(f"{base}_{uuid.uuid4().hex[:12]}")
+    return _tables[-1]
 
 
 def cleanup(spark: SparkSession) -> int:
-    """Delete the intermediates this process has made, at the end of a run; returns how many."""
+    """Drop the tables and delete the intermediates this process has made, at the end of a run; returns how many paths."""
     n = 0
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     while _made:
         path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
         n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
