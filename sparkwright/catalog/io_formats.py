@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from ..plans.analogs import lineitem_ncdc_fields
 from ..sinks import tables as K
 from ..sinks.compaction import compact_by_size
-from ..operators.ordering import order_check
-from ..session import scratch_path, table
+from ..operators.ordering import order_by, order_check
+from ..session import scratch_path, table, table_name
 from ..sources import text as S
 from ..sources.weather import (parse_ncdc, parse_station_metadata, render_ncdc,
                                render_station_metadata)
@@ -191,18 +191,32 @@ def key_value_lines(spark, sf):
 
 
 @query("n_line_batches", _DOC_LINES_SQL + """, p AS (
-  SELECT lang, count(*) AS n FROM l JOIN documents USING (doc_id) GROUP BY 1)
-SELECT lang, n AS lines, CAST(ceil(n / 100.0) AS BIGINT) AS batches, CAST(n - 100 * (ceil(n / 100.0) - 1) AS BIGINT) AS last_batch
+  SELECT lang, CAST(doc_id % 16 AS INT) AS split, count(*) AS n FROM l JOIN documents USING (doc_id) GROUP BY 1, 2)
+SELECT lang, split, n AS lines, CAST(ceil(n / 100.0) AS BIGINT) AS batches, CAST(n - 100 * (ceil(n / 100.0) - 1) AS BIGINT) AS last_batch
 FROM p""", "S11")
 def n_line_batches(spark, sf):
-    """A file for each language; batches of 100 lines don't cross files."""
-    d = table(spark, sf, "documents").select("lang", F.explode(F.split("text", "\n")).alias("value"))
+    """Sixteen tasks write a file for each language; batches of 100 lines don't cross files."""
+    split = (F.col("doc_id") % 16).cast("int")
+    d = table(spark, sf, "documents").select("lang", split.alias("split"), F.explode(F.split("text", "\n")).alias("value"))
     path = scratch_path(spark, "lines-by-lang")
-    d.repartition(1, "lang").write.partitionBy("lang").text(path)     # one writer: a file for each language
-    b = S.n_line_batches(spark, path + "/*/*.txt", 100).withColumn("lang", F.regexp_extract("file", r"lang=([^/]+)/", 1))
-    per = b.groupBy("lang", "batch").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("lang").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("batches"),
-                                   F.max_by("n", "batch").alias("last_batch"))
+    d.repartitionById(16, F.col("split")).write.partitionBy("lang", "split").text(path)
+    part = [F.regexp_extract("file", rf"{c}=([^/]+)/", 1).alias(c) for c in ("lang", "split")]
+    b = S.n_line_batches(spark, path + "/*/*/*.txt", 100).select("*", *part)
+    per = b.groupBy("lang", "split", "batch").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("lang", F.col("split").cast("int").alias("split")).agg(
+        F.sum("n").alias("lines"), F.count(F.lit(1)).alias("batches"), F.max_by("n", "batch").alias("last_batch"))
+
+
+@query("kv_text_output", """
+SELECT CAST(l_suppkey AS VARCHAR) AS key, CAST(CAST(floor(max(l_extendedprice)) AS BIGINT) AS VARCHAR) || chr(9) || CAST(count(*) AS VARCHAR) AS value
+FROM lineitem GROUP BY l_suppkey""", "K01 S10")
+def kv_text_output(spark, sf):
+    """The default output of a job: key, tab, values; read back as lines split at the first tab."""
+    per = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.floor(F.max("l_extendedprice")).cast("long").alias("top"), F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "kv")
+    K.kv_text(per, "l_suppkey", ["top", "n"], path)
+    return S.key_value_lines(spark.read.text(path))
 
 
 @query("whole_files", """
@@ -316,7 +330,22 @@ def seqfile_roundtrip(spark, sf):
     path = scratch_path(spark, "seq")
     K.sequence_file(p, "key", "value", path)
     back = S.sequence_file(spark, path)
-    return back.select(F.col("key").cast("int").alias("key"), "value").orderBy("key", "value")
+    return order_by(back.select(F.col("key").cast("int").alias("key"), "value"), ["key", "value"])
+
+
+@query("seqfile_valid_readings", f"""
+SELECT {NCDC_TEMP_SQL} AS temperature, CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR) AS line
+FROM lineitem WHERE l_quantity <> 50 AND l_linenumber IN (0, 1, 4, 5, 9)""", "K04 S15")
+def seqfile_valid_readings(spark, sf):
+    """Readings that are there and of good quality as gzip-compressed (temperature, line) pairs; the others are not written."""
+    li = table(spark, sf, "lineitem")
+    line = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    temperature = F.when(F.col("l_quantity") == 50, 9999).otherwise((F.floor(F.col("l_extendedprice") / 100) - 500).cast("int"))
+    pairs = li.select(temperature.alias("temperature"), line.alias("line"), F.col("l_linenumber").alias("quality"))
+    valid = pairs.where((F.col("temperature") != 9999) & F.col("quality").isin(0, 1, 4, 5, 9))
+    path = scratch_path(spark, "valid-pairs")
+    K.sequence_file(valid, "temperature", "line", path, "org.apache.hadoop.io.compress.GzipCodec")
+    return S.sequence_file(spark, path, "temperature", "line").select(F.col("temperature").cast("int").alias("temperature"), "line")
 
 
 @query("parquet_text", "SELECT p_partkey, p_name, p_size FROM part", "S17 K23")
@@ -335,7 +364,7 @@ JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2""", "S18 K07")
 def orc_roundtrip(spark, sf):
     """CREATE TABLE ... USING orc AS SELECT, then read the ORC files."""
     path = scratch_path(spark, "orc")
-    name = f"orc_ctas_{abs(hash(path)) % 10**8}"
+    name = table_name("orc_ctas")
     s = table(spark, sf, "supplier")
     n = table(spark, sf, "nation")
     spark.sql(f"CREATE TABLE {name} USING orc LOCATION '{path}' AS "
@@ -344,6 +373,23 @@ def orc_roundtrip(spark, sf):
     return spark.read.orc(path)
 
 
+@query("ctas_formats", """
+SELECT format, n_nationkey, n_name, suppliers FROM (
+  SELECT n_nationkey, n_name, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2),
+  (VALUES ('parquet'), ('orc'), ('json'), ('csv')) f(format)""", "K07")
+def ctas_formats(spark, sf):
+    """CREATE TABLE AS SELECT into each file format of a table; each is read as a table."""
+    s, n, out = table(spark, sf, "supplier"), table(spark, sf, "nation"), None
+    for fmt in ("parquet", "orc", "json", "csv"):
+        name = table_name(f"{fmt}_ctas")
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{scratch_path(spark, fmt)}' AS "
+                  "SELECT n_nationkey, n_name, count(*) AS suppliers FROM {s} "
+                  "JOIN {n} ON s_nationkey = n_nationkey GROUP BY 1, 2", s=s, n=n)
+        t = spark.table(name).select(F.lit(fmt).alias("format"), "n_nationkey", "n_name", "suppliers")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
 @query("null_csv", """
 SELECT p_partkey AS id, CASE WHEN p_size > 45 THEN NULL ELSE p_name END AS name,
        CASE WHEN p_size < 5 THEN NULL ELSE p_size END AS size
@@ -386,18 +432,30 @@ def partition_by_key_year(spark, sf):
     return spark.read.parquet(path).groupBy("station", "year").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _loaded_partitions(spark, sf):
+    """Every kind of event loaded into a literal partition of its own (a handful of kinds)."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    path = scratch_path(spark, "static")
+    for kind in [r.event_type for r in e.select("event_type").distinct().collect()]:
+        K.static_partition(e.where(F.col("event_type") == kind).drop("event_type"), path, {"event_type": kind})
+    return path
+
+
 @query("static_partitions", """
 SELECT event_id, user_id, 'view' AS event_type FROM events WHERE event_type = 'view'""",
        "K17 P27")
 def static_partitions(spark, sf):
-    """Load two literal partitions, list them, query one (pruned)."""
-    e = table(spark, sf, "events")
-    path = scratch_path(spark, "static")
-    for kind in ("view", "click"):
-        K.static_partition(e.where(F.col("event_type") == kind).select("event_id", "user_id"),
-                           path, {"event_type": kind})
-    assert K.list_partitions(spark, path, ["event_type"]).count() == 2
-    return spark.read.parquet(path).where(F.col("event_type") == "view")
+    """One of the loaded partitions is read; the others are pruned."""
+    return spark.read.parquet(_loaded_partitions(spark, sf)).where(F.col("event_type") == "view")
+
+
+@query("static_partitions_all", """
+SELECT event_id, user_id, event_type, (SELECT count(DISTINCT event_type) FROM events) AS partitions FROM events""", "K17")
+def static_partitions_all(spark, sf):
+    """All loaded partitions, and how many of them the listing shows."""
+    path = _loaded_partitions(spark, sf)
+    n = K.list_partitions(spark, path, ["event_type"]).count()
+    return spark.read.parquet(path).withColumn("partitions", F.lit(n).cast("long"))
 
 
 @query("small_file_compaction", """
@@ -437,15 +495,18 @@ def compaction_by_size(spark, sf):
                    ((F.count(F.lit(1)) == files) & (F.count(F.lit(1)) <= 14)).alias("few"))
 
 
-@query("table_overwrite", "SELECT p_partkey, p_name FROM part WHERE p_size >= 10", "K18")
+@query("table_overwrite", "SELECT p_partkey, p_name, true AS was_listed, false AS is_listed FROM part WHERE p_size >= 10", "K18")
 def table_overwrite(spark, sf):
-    """Create, load, then overwrite a table: the second load replaces the first."""
+    """Create, load, overwrite and drop a table: the second load replaces the first, the files of an external table stay."""
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
     path = scratch_path(spark, "overwrite")
-    name = f"overwrite_{abs(hash(path)) % 10**8}"
+    name = table_name("overwrite")
     p.where(F.col("p_size") < 10).write.mode("overwrite").option("path", path).saveAsTable(name)
     p.where(F.col("p_size") >= 10).write.mode("overwrite").option("path", path).saveAsTable(name)
-    return spark.table(name).select("p_partkey", "p_name")
+    listed = [spark.catalog.tableExists(name)]
+    spark.sql(f"DROP TABLE {name}")
+    listed.append(spark.catalog.tableExists(name))
+    return spark.read.parquet(path).select("p_partkey", "p_name", F.lit(listed[0]).alias("was_listed"), F.lit(listed[1]).alias("is_listed"))
 
 
 @query("write_modes", "SELECT p_partkey, p_size FROM part", "K14")

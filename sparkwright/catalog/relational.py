@@ -46,17 +46,13 @@ def join_right(spark, sf):
 
 
 @query("join_full", """
-SELECT o.o_orderkey, o.o_orderstatus, l.l_orderkey, l.l_linenumber
-FROM (SELECT * FROM orders WHERE o_orderstatus = 'F') o
-FULL JOIN (SELECT * FROM lineitem WHERE l_linestatus = 'F') l
-  ON o.o_orderkey = l.l_orderkey""", "J05")
+SELECT o.o_orderkey, o.o_orderstatus, l.l_orderkey, l.l_linenumber, l.l_linestatus
+FROM orders o FULL JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus = l.l_linestatus""", "J05")
 def join_full(spark, sf):
-    """Finished orders against finished lines: unmatched rows on both sides."""
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
-        "o_orderkey", "o_orderstatus")
-    li = table(spark, sf, "lineitem").where(F.col("l_linestatus") == "F").select(
-        "l_orderkey", "l_linenumber")
-    return J.join(o, li, o.o_orderkey == li.l_orderkey, "full")
+    """All orders against all lines of their status: unmatched rows on both sides."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
+    return J.join(o, li, (o.o_orderkey == li.l_orderkey) & (o.o_orderstatus == li.l_linestatus), "full")
 
 
 @query("join_semi", """
@@ -189,13 +185,12 @@ def composite_join(spark, sf):
 
 @query("join_same_names", """
 SELECT a.o_orderkey AS a_key, a.o_orderdate AS a_date, b.o_orderkey AS b_key, b.o_orderdate AS b_date
-FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey
-WHERE a.o_orderstatus = 'P' AND b.o_orderstatus = 'P'""", "P05")
+FROM orders a JOIN orders b ON a.o_orderkey + 1 = b.o_orderkey""", "P05")
 def join_same_names(spark, sf):
-    """Both inputs have the same column names; each is named by its relation."""
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "P").select("o_orderkey", "o_custkey", "o_orderdate")
+    """Both inputs have the same column names; each is named by its relation: every order with the next one by key."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     a, b = o.alias("a"), o.alias("b")
-    j = a.join(b, (F.col("a.o_custkey") == F.col("b.o_custkey")) & (F.col("a.o_orderkey") < F.col("b.o_orderkey")))
+    j = a.join(b, F.col("a.o_orderkey") + 1 == F.col("b.o_orderkey"))
     return j.select(F.col("a.o_orderkey").alias("a_key"), F.col("a.o_orderdate").alias("a_date"),
                     F.col("b.o_orderkey").alias("b_key"), F.col("b.o_orderdate").alias("b_date"))
 

@@ -11,7 +11,7 @@ from ..operators import projection as P
 from ..operators import schema_resolution as N
 from ..operators import sets as U
 from ..sinks.tables import bucketed_table, parquet
-from ..session import scratch_path, table
+from ..session import scratch_path, table, table_name
 from .registry import query
 
 # --- projections and filters ---------------------------------------------
@@ -358,8 +358,7 @@ def union_widths(spark, sf):
 SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 = 0""", "U05 K16")
 def bucket_sample(spark, sf):
     """Write customers as a bucketed, sorted table; sample bucket 1 of 4."""
-    name = f"customer_buckets_{abs(hash(sf)) % 10**6}"
-    t = bucketed_table(table(spark, sf, "customer").select("c_custkey", "c_name"), name, 4,
+    t = bucketed_table(table(spark, sf, "customer").select("c_custkey", "c_name"), table_name("customer_buckets"), 4,
                        "c_custkey", sort_by="c_custkey",
                        path=scratch_path(spark, "bucketed"))
     return U.bucket_sample(t, "c_custkey", 1, 4)

@@ -173,25 +173,6 @@ def key_value_lines(lines: DataFrame, col: str = "value", sep: str = "\t") -> Da
                         F.coalesce(F.get(parts, 1), F.lit("")).alias("value"))
 
 
-def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
-    """Contiguous 0-based row numbers in read order, computed JVM-side.
-
-    ``monotonically_increasing_id`` gives (partition << 33) + position; a
-    per-partition count (one row per input partition, a proven bound) turns
-    the partition into a starting offset, joined back as a broadcast.  No
-    single-task window over the data, no Python rows.
-    """
-    d = (df.withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (d.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + pos).cast("long"))
-            .drop("_pid", "_mid", "_off"))
-
-
 def n_line_batches(spark: SparkSession, path: str, n: int) -> DataFrame:
     """(file, batch, line_no, line): consecutive groups of ``n`` lines of one file.
 

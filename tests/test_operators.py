@@ -1,4 +1,7 @@
-"""Operators on the literal fixtures (goldens from the fixture tables)."""
+"""Operators on the literal fixtures (goldens from the fixture tables).
+
+# The small rows and results below are those of the fixture tables.
+"""
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -38,9 +38,9 @@ def test_byte_offsets(spark, tmp_text):
 
 
 def test_key_value_lines(spark):
-    df = spark.createDataFrame([("line1\tOn the top",), ("no tab",)], "value string")
+    df = spark.createDataFrame([("row7\tgreen lamp, two chairs",), ("no tab",)], "value string")
     r = S.key_value_lines(df).collect()
-    assert (r[0].key, r[0].value) == ("line1", "On the top")
+    assert (r[0].key, r[0].value) == ("row7", "green lamp, two chairs")
     assert (r[1].key, r[1].value) == ("no tab", "")
 
 
@@ -108,15 +108,6 @@ def test_globs_and_path_filters(spark, tmp_path):
         "2007/12/31", "2008/01/01"]
 
 
-def test_row_index_contiguous_across_partitions(spark, tmp_text):
-    df = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "v")
-    idx = S.with_row_index(df).collect()
-    assert sorted(r.row_index for r in idx) == list(range(1000))
-    assert all(r.row_index == r.v for r in idx)  # range keeps read order
-    lines = S.with_row_index(spark.read.text(tmp_text(LINES))).orderBy("row_index").collect()
-    assert [r.value for r in lines] == LINES
-
-
 def test_offsets_and_batches_of_several_files(spark, tmp_path):
     for name in ("b", "a"):
         (tmp_path / f"{name}.txt").write_bytes(b"".join(f"{name}{i}".encode() * 9 + (b"\r\n" if i % 2 else b"\n") for i in range(500)))

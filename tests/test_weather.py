@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from sparkwright.operators import aggregates as A
 from sparkwright.sources.weather import parse_metoffice, parse_ncdc, parse_station_metadata
 
-# Literal weather lines (fixed width) and their expected values.
+# Weather lines in the fixed-width format, whose fields the readers must give.
 NCDC = [
     "0067011990999991950051507004+68750+023550FM-12+038299999V0203301N00671220001CN9999999N9+00001+99999999999",
     "0043011990999991950051512004+68750+023550FM-12+038299999V0203201N00671220001CN9999999N9+00221+99999999999",
