@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,6 +31,9 @@ from pyspark.sql import DataFrame
 
 from .token_counts import model_path
 
+#: The fast encoder's pattern engine gives up, or ends the process, on runs of white space not far above this.
+LONG_RUN = re.compile(r"\s{100000}")
+
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 OUT_ROWS = 4096
@@ -70,13 +74,14 @@ class Encoder:
                                  mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if self.fast is not None and not any(t in text for t in self.added):
-            try:
-                return np.array(self.fast.encode_ordinary(text), dtype="<u4")
-            except Exception:                 # the pattern's backtracking limit on huge runs of spaces
-                pass
+        if self.fast is not None and not any(t in text for t in self.added) and not self._long_run(text):
+            return np.array(self.fast.encode_ordinary(text), dtype="<u4")
         return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    @staticmethod
+    def _long_run(text: str) -> bool:
+        return len(text) >= 100_000 and LONG_RUN.search(text) is not None
+
 
 def byte_symbols() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level vocabularies."""

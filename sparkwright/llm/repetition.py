@@ -4,7 +4,10 @@ The words of some documents form one sequence in which words of different
 documents differ.  Prefix doubling gives each suffix its rank, level by level
 (equal ranks at level j: equal first 2^j words); only suffixes that are not yet
 alone are sorted again.  Suffixes in order of rank are the suffix array; the
-levels, read from the top, give the longest common prefix of neighbours.  In
+levels, read from the top, give the longest common prefix of neighbours.  Of a
+text of more than ``KEEP`` words only the last level is kept, and the common
+prefixes are found along the text instead, each starting from its predecessor's
+length less one; memory is then a few numbers a word, whatever repeats.  In
 the LCP intervals that hold a suffix, the largest value is the longest prefix
 that occurs elsewhere in its document, so the union of the spans of all
 maximal repeats of at least ``min_repeat`` words is the union over suffixes of
@@ -32,51 +35,87 @@ COLUMNS = {"n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int6
 SCHEMA = "doc_id long, " + ", ".join(f"{c} {'boolean' if t == pa.bool_() else 'long'}" for c, t in COLUMNS.items())
 
 
-def suffix_levels(symbols: np.ndarray, left: np.ndarray) -> list[np.ndarray]:
-    """Ranks of the suffixes by their first 1, 2, 4, ... symbols, until all differ.
+#: Words up to which all levels are kept.
+KEEP = 1 << 20
+
+
+def suffix_levels(symbols: np.ndarray, left: np.ndarray, keep: bool = True) -> list[np.ndarray]:
+    """Ranks of the suffixes by their first 1, 2, 4, ... symbols, until all differ; without ``keep`` the first and last.
 
     ``left``: symbols from each position to the end of its document.  Equal
     symbols must be of one document.
     """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols, kind="stable").astype(np.int32)
     first = np.ones(n, dtype=bool)
     first[1:] = symbols[order][1:] != symbols[order][:-1]
-    starts = np.flatnonzero(first)
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
+    starts = np.flatnonzero(first).astype(np.int32)
+    sizes = np.diff(np.append(starts, np.int32(n)))
+    rank = np.empty(n, dtype=np.int32)
+    rank[order] = np.repeat(starts, sizes)
     levels, k = [rank], 1
-    sizes = np.repeat(np.diff(np.append(starts, n)), np.diff(np.append(starts, n)))
-    active = order[sizes > 1]                       # whole groups, in order of rank
+    active = order[np.repeat(sizes, sizes) > 1]                       # whole groups, in order of rank
+    del order, first
     while len(active):
-        second = np.full(len(active), -1, dtype=np.int64)
-        more = left[active] > k
-        second[more] = rank[active[more] + k]
-        key = rank[active] * (n + 1) + second + 1
+        key = rank[active].astype(np.int64)
+        key *= n + 1
+        more = np.flatnonzero(left[active] > k)
+        key[more] += rank[active[more] + k] + np.int64(1)
         by = np.argsort(key, kind="stable")
         active, key = active[by], key[by]
+        del by, more
         old = rank[active]
-        at = np.arange(len(active))
-        group = np.append(True, old[1:] != old[:-1])
-        part = np.append(True, key[1:] != key[:-1])
-        offset = at[part][np.cumsum(part) - 1] - at[group][np.cumsum(group) - 1]
-        rank = rank.copy()
-        rank[active] = old + offset
-        levels.append(rank)
+        group = np.flatnonzero(np.append(True, old[1:] != old[:-1])).astype(np.int32)
+        part = np.flatnonzero(np.append(True, key[1:] != key[:-1])).astype(np.int32)
+        del key
+        # a part's rank: its group's, and its place in the group
+        size = np.diff(np.append(part, np.int32(len(active))))
+        old = old[part] + part - group[np.searchsorted(group, part, side="right") - 1]
+        rank = rank.copy() if keep or len(levels) == 1 else rank
+        rank[active] = np.repeat(old, size)
+        if keep or len(levels) == 1:
+            levels.append(rank)
         k *= 2
-        size = np.diff(np.append(np.flatnonzero(part), len(active)))
         active = active[np.repeat(size, size) > 1]
     return levels
 
 
+def neighbour_prefixes(symbols: np.ndarray, left: np.ndarray, rank: np.ndarray, suffixes: np.ndarray) -> np.ndarray:
+    """Longest common prefix of each suffix in order with the one before it (the first: 0).
+
+    Along the text a suffix shares at least one symbol less with its neighbour
+    than the suffix before it did, so all comparisons together are linear.
+    """
+    out = np.zeros(len(symbols), dtype=np.int32)
+    place, order, rest, to = memoryview(rank), memoryview(suffixes), memoryview(left), memoryview(out)
+    text, h = memoryview(symbols), 0
+    for i in range(len(symbols)):
+        at = place[i]
+        if at == 0:
+            h = 0
+            continue
+        j = order[at - 1]
+        most = min(rest[i], rest[j])
+        while h < most and text[i + h] == text[j + h]:
+            h += 1
+        to[at] = h
+        h -= h > 0
+    return out
+
+
 def longest_repeats(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
     """For each position the longest prefix of its suffix that starts elsewhere too."""
     n = len(symbols)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    levels = suffix_levels(symbols, left)
-    suffixes = np.empty(n, dtype=np.int64)
-    suffixes[levels[-1]] = np.arange(n)
+    levels = suffix_levels(symbols, left, keep=n <= KEEP)
+    suffixes = np.empty(n, dtype=np.int32)
+    suffixes[levels[-1]] = np.arange(n, dtype=np.int32)
+    if n > KEEP:
+        lcp = np.append(neighbour_prefixes(symbols, left, levels[-1], suffixes), np.int32(0))
+        out = np.empty(n, dtype=np.int64)
+        out[suffixes] = np.maximum(lcp[:-1], lcp[1:])
+        return out
     a, b = suffixes[:-1], suffixes[1:]
     near = np.flatnonzero(levels[0][a] == levels[0][b])
     a, b = a[near], b[near]
@@ -139,6 +178,14 @@ def measure(texts: list[bytes], min_repeat: int) -> dict[str, np.ndarray]:
             "longest_repeat": longest}
 
 
+def verdict(m: dict[str, np.ndarray], max_covered: int = 20, max_longest: int = 200, min_words: int = 10,
+            max_repeat_words: int = 20) -> dict[str, np.ndarray]:
+    """The measures with ``base_failed`` and ``kept``."""
+    n = m["n_words"]
+    failed = (n < min_words) | (100 * m["n_repeat_words"] > max_repeat_words * n)
+    return m | {"base_failed": failed, "kept": ~failed & (100 * m["n_covered"] <= max_covered * n) & (m["longest_repeat"] <= max_longest)}
+
+
 def quality(documents: DataFrame, min_repeat: int = 8, max_covered: int = 20, max_longest: int = 200,
             min_words: int = 10, max_repeat_words: int = 20) -> DataFrame:
     """One row for each document: measures, ``base_failed`` and ``kept``.
@@ -146,32 +193,26 @@ def quality(documents: DataFrame, min_repeat: int = 8, max_covered: int = 20, ma
     ``max_covered``, ``max_repeat_words``: percent of the words; ``max_longest``: words.
     """
 
+    limits = {"max_covered": max_covered, "max_longest": max_longest, "min_words": min_words, "max_repeat_words": max_repeat_words}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, texts in chunks(b):
-                m = measure(texts, min_repeat)
-                n = m["n_words"]
-                m["base_failed"] = (n < min_words) | (100 * m["n_repeat_words"] > max_repeat_words * n)
-                m["kept"] = ~m["base_failed"] & (100 * m["n_covered"] <= max_covered * n) & (m["longest_repeat"] <= max_longest)
+                m = verdict(measure(texts, min_repeat), **limits)
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids(b, at), *(pa.array(m[c], t) for c, t in COLUMNS.items())], names=["doc_id", *COLUMNS])
 
     return documents.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, SCHEMA)
 
 
-def keep_good(documents: DataFrame, **limits) -> DataFrame:
-    """The rows of ``documents`` that pass, with all their columns, in one pass over the scan."""
-    limits = {"min_repeat": 8, "max_covered": 20, "max_longest": 200, "min_words": 10, "max_repeat_words": 20} | limits
+def keep_good(documents: DataFrame, min_repeat: int = 8, **limits) -> DataFrame:
+    """The rows of ``documents`` that pass (limits as in ``quality``), with all their columns, in one pass over the scan."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
             for _, texts in chunks(b):
-                m = measure(texts, limits["min_repeat"])
-                n = m["n_words"]
-                keep.append((n >= limits["min_words"]) & (100 * m["n_repeat_words"] <= limits["max_repeat_words"] * n)
-                            & (100 * m["n_covered"] <= limits["max_covered"] * n)
-                            & (m["longest_repeat"] <= limits["max_longest"]))
+                keep.append(verdict(measure(texts, min_repeat), **limits)["kept"])
             if keep:
                 yield b.filter(pa.array(np.concatenate(keep)))
 

@@ -3,7 +3,7 @@
 Inputs.  A word is the embedding of its hashed form next to the mean embedding
 of its hashed character trigrams (bytes, with word borders); both are learnt.
 A text is cut into windows of ``window`` words, each ``stride`` words after the
-last, so windows overlap.  Two gated recurrent layers read a window forwards
+last, so windows overlap and every phrase of ``window - stride`` words lies whole in one.  Two gated recurrent layers read a window forwards
 and backwards, attention pools their states, and a linear unit gives the
 window's logit.  All windows of all texts are scored; a document's score is
 that of its worst window.
@@ -33,6 +33,7 @@ from .textops import U64, Batch, chunks, doc_ids, mix
 WORDS, TRIGRAMS, DIM, HIDDEN = 1 << 12, 1 << 13, 8, 8
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 CHUNK = 1 << 20
+RUN = 1 << 13          # windows of one matrix
 
 
 @dataclass
@@ -110,9 +111,9 @@ def scan(p: np.ndarray, rec: np.ndarray, index: np.ndarray, mask: np.ndarray, ba
     return states
 
 
-def logits(w: dict, f: Features, keep: dict | None = None) -> np.ndarray:
-    """Logit of each window."""
-    x = inputs(w, f)
+def logits(w: dict, f: Features, keep: dict | None = None, x: np.ndarray | None = None) -> np.ndarray:
+    """Logit of each window; ``x``: the inputs, if they are known."""
+    x = inputs(w, f) if x is None else x
     mask = (f.index < len(f.word)).astype(x.dtype)
     states = []
     for side in "fb":
@@ -214,11 +215,13 @@ def best_cut(top: np.ndarray, toxic: np.ndarray) -> float:
 
 
 def document_logits(w: dict, texts: list[bytes], window: int, stride: int) -> np.ndarray:
-    """Logit of each document's worst window; -inf without words."""
+    """Logit of each document's worst window; -inf without words.  ``RUN`` windows at a time are one matrix."""
     f = features(texts, window, stride)
+    x = inputs(w, f)
     top = np.full(len(texts), -np.inf)
-    if len(f.doc):
-        np.maximum.at(top, f.doc, logits(w, f))
+    for at in range(0, len(f.doc), RUN):
+        own = slice(at, at + RUN)
+        np.maximum.at(top, f.doc[own], logits(w, Features(f.word, f.trigram, f.begin, f.index[own], f.doc[own]), x=x))
     return top
 
 
@@ -245,7 +248,7 @@ def fit(documents: DataFrame, labels: DataFrame, fold: int, of: int, max_docs: i
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, fold: int = 0, of: int = 5, max_docs: int = 3000,
-                   max_bytes: int = 6000, window: int = 32, stride: int = 20) -> DataFrame:
+                   max_bytes: int = 6000, window: int = 32, stride: int = 8) -> DataFrame:
     """One row for each document."""
     weights = fit(documents, labels, fold, of, max_docs, max_bytes, window, stride)
     shared = documents.sparkSession.sparkContext.broadcast(weights)

@@ -40,6 +40,12 @@ def test_odd_texts(enc, mer, piece, text):
     assert mer.count(text) == len(piece.encode(text))
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000 + "a", "a" + " \n" * 300_000, "b" * 300_000, "\u3000" * 120_000 + "x", "x" + " " * 99_999 + "y"])
+def test_long_runs(enc, text):
+    """The fast encoder ends the process on a million spaces; such texts go through the library."""
+    assert enc.encode(text).tolist() == enc.full.encode(text, add_special_tokens=False).ids
+
+
 @cache
 def libraries():
     import sentencepiece

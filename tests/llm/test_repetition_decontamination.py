@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from sparkwright.llm import repetition as R
 from sparkwright.llm.decontaminate import contamination
 from sparkwright.llm.repetition import keep_good, longest_repeats, measure, quality
 
@@ -101,3 +102,36 @@ def test_contamination(spark, max_bytes, window):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr((i, *brute_hits(t, items, window))) for i, t in docs)
     assert contamination(d.where("false"), b).count() == 0
     assert {r.n_hit for r in contamination(d, b.where("false")).collect()} == {0}
+
+
+def test_both_ways_to_the_common_prefixes(monkeypatch):
+    """Words with many repeats, in several documents: from the kept levels and along the text."""
+    rng = np.random.default_rng(9)
+    for kinds, n in ((1, 300), (2, 500), (5, 800), (300, 600)):
+        doc = np.sort(rng.integers(0, 4, n))
+        symbols = (rng.integers(0, kinds, n) * 10 + doc).astype(np.uint64)
+        ends = np.searchsorted(doc, doc, side="right")
+        left = ends - np.arange(n)
+        kept = R.longest_repeats(symbols, left)
+        monkeypatch.setattr(R, "KEEP", 10)
+        along = R.longest_repeats(symbols, left)
+        monkeypatch.undo()
+        want = [max((k for j in range(n) if j != i and doc[i] == doc[j]
+                     for k in [next((x for x in range(min(left[i], left[j])) if symbols[i + x] != symbols[j + x]), min(left[i], left[j]))]), default=0)
+                for i in range(n)] if n <= 300 else None
+        assert kept.tolist() == along.tolist() and (want is None or kept.tolist() == want)
+
+
+def test_twenty_megabytes_of_one_word():
+    """Memory of a few numbers a word; the text is one repeat."""
+    import tracemalloc
+    text = b"abc " * (5 << 20)
+    tracemalloc.start()
+    try:
+        m = R.measure([text], 8)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    n = 5 << 20
+    assert m["longest_repeat"].tolist() == [n - 1] and m["n_covered"].tolist() == [n] and peak < 900 << 20
+    print("peak MB", peak >> 20)

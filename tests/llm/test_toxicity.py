@@ -72,3 +72,44 @@ def test_nulls_long_texts_and_no_labels(spark):
     assert [r.score for r in got if r.doc_id in (7001, 7002) or r.doc_id is None] == [0.0, 0.0, 0.0]
     assert {r.score for r in T.score_toxicity(docs, labels.where("toxic = 0")).collect()} == {0.0}
     assert T.score_toxicity(docs.where("false"), labels).count() == 0
+
+
+def test_scores_against_plain_loops():
+    """A window's logit word by word, a document's score from its worst window, in runs of any length."""
+    rng = np.random.default_rng(2)
+    w = T.new_weights(4, np.float64) | {"shift": np.array([0.1])}
+    texts = [" ".join(rng.choice(["ta", "Rolo", "né", "x9!", "grimlo"], n)).encode() for n in (0, 1, 5, 11, 60)]
+
+    def word_input(word):
+        f = T.features([word], 1, 1)
+        return np.concatenate([w["word"][f.word[0]], w["trigram"][f.trigram].mean(axis=0)])
+
+    def read(xs, side):
+        h, states = np.zeros(T.HIDDEN), []
+        for x in xs:
+            p, u = x @ w[f"in_{side}"] + w[f"bias_{side}"], h @ w[f"rec_{side}"]
+            r, z = (1 / (1 + np.exp(-(p + u)[a:a + T.HIDDEN])) for a in (0, T.HIDDEN))
+            c = np.tanh(p[2 * T.HIDDEN:] + r * u[2 * T.HIDDEN:])
+            h = z * h + (1 - z) * c
+            states.append(h)
+        return states
+
+    want = []
+    for text in texts:
+        words = text.lower().split()
+        top = -np.inf
+        for at in range(0, max(1, len(words) - 8 + 3) if words else 0, 3):
+            xs = [word_input(x) for x in words[at:at + 8]]
+            if not xs:
+                continue
+            states = [np.concatenate(s) for s in zip(read(xs, "f"), read(xs[::-1], "b")[::-1])]
+            e = np.exp([np.tanh(s @ w["att"] + w["att_bias"]) @ w["att_out"] for s in states])
+            top = max(top, (e / e.sum()) @ np.array(states) @ w["out"] + w["out_bias"][0])
+        want.append(top)
+    old = T.RUN
+    try:
+        for T.RUN in (1, 4, 1 << 13):
+            got = T.document_logits(w, texts, 8, 3)
+            assert got[0] == -np.inf and np.allclose(got[1:], want[1:], atol=1e-9)
+    finally:
+        T.RUN = old
