@@ -142,6 +142,13 @@ def covered(lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
+def before(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place and before the end."""
+    out = np.zeros(len(flags) + 1, dtype=np.int32)
+    np.cumsum(flags, out=out[1:], dtype=np.int32)
+    return out
+
+
 def duplicate_lines(batch: Batch) -> np.ndarray:
     """Per document: lines with a word that equal an earlier line."""
     ends = np.flatnonzero(batch.buf == 10)
@@ -166,12 +173,14 @@ def measure(texts: list[bytes], min_repeat: int) -> dict[str, np.ndarray]:
         total = np.append(0, np.cumsum(flags))
         return total[starts[1:]] - total[starts[:-1]]
 
-    head = np.append(0, np.cumsum((batch.buf & 0xC0) != 0x80))          # code points before a byte
-    symbol = np.append(0, np.cumsum(SYMBOLS[batch.buf]))
+    head = before((batch.buf & 0xC0) != 0x80)          # code points before a byte
+    word_chars = per_doc(head[batch.ends] - head[batch.starts])
+    del head
+    symbol = before(SYMBOLS[batch.buf])
     longest = np.zeros(batch.n_docs, dtype=np.int64)
     np.maximum.at(longest, doc, repeat)
-    return {"n_words": n_words, "word_chars": per_doc(head[batch.ends] - head[batch.starts]),
-            "n_symbols": symbol[batch.doc_starts[1:]] - symbol[batch.doc_starts[:-1]],
+    return {"n_words": n_words, "word_chars": word_chars,
+            "n_symbols": (symbol[batch.doc_starts[1:]] - symbol[batch.doc_starts[:-1]]).astype(np.int64),
             "n_dup_lines": duplicate_lines(batch),
             "n_repeat_words": per_doc(covered(np.where(repeat >= 5, 5, 0))),
             "n_covered": per_doc(covered(np.where(repeat >= min_repeat, repeat, 0))),

@@ -18,6 +18,8 @@ _MULT = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MULT, -1, 1 << 64)
 #: Bytes of text handled at once; one longer text is still handled whole.
 CHUNK_BYTES = 4 << 20
+#: Longer buffers are hashed in runs of about so many bytes.
+RUN_BYTES = 8 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,8 +45,25 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]`` for each pair, whatever the spans' lengths."""
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Hash of ``values[start:end]`` (or of ``table[values]``) for each pair, whatever the spans' lengths.
+
+    Spans in ascending order of a long buffer are hashed in runs, and a long span
+    in pieces, so that what is held beside the buffer is bounded by ``RUN_BYTES``.
+    """
+    if len(values) > RUN_BYTES and len(starts) and (np.diff(starts) >= 0).all() and (np.diff(ends) >= 0).all():
+        out, at = np.empty(len(starts), dtype=U64), 0
+        while at < len(starts):
+            stop = max(at + 1, int(np.searchsorted(ends, starts[at] + RUN_BYTES, side="right")))
+            first = starts[at]
+            if ends[at] - first > RUN_BYTES:
+                out[at] = _long_hash(values[first:ends[at]], table)
+                at += 1
+                continue
+            out[at:stop] = span_hashes(values[first:ends[stop - 1]], starts[at:stop] - first, ends[at:stop] - first, table)
+            at = stop
+        return out
+    values = values if table is None else table[values]
     up, down = _powers(len(values))
     total = np.zeros(len(values) + 1, dtype=U64)
     np.cumsum(values * up[:len(values)], out=total[1:])
@@ -52,6 +71,17 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(h + (ends - starts).astype(U64) * U64(0xA0761D6478BD642F))
 
 
+def _long_hash(values: np.ndarray, table: np.ndarray | None) -> np.uint64:
+    """``span_hashes`` of the whole buffer as one span, piece by piece."""
+    up, h = _powers(RUN_BYTES)[0], 0
+    for at in range(0, len(values), RUN_BYTES):
+        piece = values[at:at + RUN_BYTES]
+        piece = piece if table is None else table[piece]
+        h += int(np.sum(piece * up[:len(piece)], dtype=U64)) * pow(_MULT, at, 1 << 64)
+    whole = np.array([h % (1 << 64)], dtype=U64)
+    return mix(whole + np.array([len(values)], dtype=U64) * U64(0xA0761D6478BD642F))[0]
+
+
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of every ``n`` consecutive values (document borders are not looked at)."""
     m = len(hashes) - n + 1
@@ -119,7 +149,7 @@ class Batch:
     @property
     def hashes(self) -> np.ndarray:
         if self._hashes is None:
-            self._hashes = span_hashes(_BYTE[self.buf], self.starts, self.ends)
+            self._hashes = span_hashes(self.buf, self.starts, self.ends, _BYTE)
         return self._hashes
 
     def gram_valid(self, n: int) -> np.ndarray:
@@ -130,7 +160,7 @@ class Batch:
 
 
 def byte_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(_BYTE[buf], starts, ends)
+    return span_hashes(buf, starts, ends, _BYTE)
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text",
