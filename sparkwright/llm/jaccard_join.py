@@ -30,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,12 @@ from pyspark.sql import functions as F
 from sparkwright.session import shared_dir
 
 from .components import components
-from .rows import numbered, release
+from .rows import numbered, release, saved, small
 from .textops import U64, Batch, chunks, doc_ids, gram_hashes, mix
 
 SKETCH_BITS, SKETCH_PARTS, HUBS = 20, 64, 64
+#: Posting lists are made for a part of the tokens at a time, so that their shuffle files are not on disk together.
+ROUNDS = 4
 PARITY = 16            # longs of a set's parity bitmap
 SETS = "row long, doc_id long, n long, s1 long, s2 long, bits array<long>, prefix array<long>"
 
@@ -155,11 +158,12 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y"), keep], names=["x", "y", "linked"])
 
-    rows = pairs.select(F.explode(F.array("x", "y")).alias("row")).distinct()
-    sets = docs.select("row", "text").join(rows, "row").mapInArrow(whole, "row long, shingles binary").checkpoint()
-    return (pairs.join(sets.select(F.col("row").alias("x"), F.col("shingles").alias("p")), "x")
-            .join(sets.select(F.col("row").alias("y"), F.col("shingles").alias("q")), "y")
-            .select("x", "y", "p", "q").mapInArrow(common, "x long, y long, linked boolean").checkpoint())
+    rows = saved(pairs.select(F.explode(F.array("x", "y")).alias("row")).distinct(), "asked")
+    sets = saved(docs.select("row", "text").join(small(rows, "16"), "row").mapInArrow(whole, "row long, shingles binary"), "shingles")
+    release(docs.sparkSession)
+    return saved(pairs.join(sets.select(F.col("row").alias("x"), F.col("shingles").alias("p")), "x")
+                 .join(sets.select(F.col("row").alias("y"), F.col("shingles").alias("q")), "y")
+                 .select("x", "y", "p", "q").mapInArrow(common, "x long, y long, linked boolean"), "checked")
 
 
 def _possible(percent: int, n: str, pos: str, m: str, at: str) -> str:
@@ -180,35 +184,42 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
     shared_dir(spark)
     docs = numbered(documents, F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = spark.sparkContext.broadcast(rarity(docs, size))              # of a fixed size
-    sets = (docs.mapInArrow(_sets(counts, size, percent), SETS)
-            .withColumn("g1", F.xxhash64("n", "prefix")).withColumn("g2", F.xxhash64("prefix", "n")).checkpoint())
+    sets = saved(docs.mapInArrow(_sets(counts, size, percent), SETS)
+                 .withColumn("g1", F.xxhash64("n", "prefix")).withColumn("g2", F.xxhash64("prefix", "n")), "sets")
 
     # A smaller set is linked with equal ones only.
     large = sets.where(f"100 * n >= {percent} * (n + 1)")
-    groups = large.groupBy("g1", "g2").agg(F.min("row").alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    groups = saved(large.groupBy("g1", "g2").agg(F.min("row").alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
+    release(spark)
     classes = (large.groupBy("s1", "s2").agg(F.min("row").alias("cls"), F.first("g1").alias("g1"), F.first("g2").alias("g2"), F.first("n").alias("n"))
                .join(groups.select("g1", "g2", "g"), ["g1", "g2"]).select("cls", "g", "n"))
-    entries = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
     pick = F.struct(F.xxhash64("g", F.col("token").bitwiseAND(HUBS - 1)), "g", "n", "pos")
-    hubs = (entries.groupBy("token").agg(F.count("*").alias("times"), F.min(pick).alias("hub"))
-            .where("times > 1").select("token", F.col("hub.g").alias("h"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("at")))
-    lists = entries.join(hubs, "token").checkpoint()
-    release(spark)
+    parts = []
+    for k in range(ROUNDS):
+        entries = (groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
+                   .where(F.pmod(F.shiftright("token", 8), F.lit(ROUNDS)) == k))
+        hubs = (entries.groupBy("token").agg(F.count("*").alias("times"), F.min(pick).alias("hub"))
+                .where("times > 1").select("token", F.col("hub.g").alias("h"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("at")))
+        parts.append(saved(entries.join(hubs, "token"), "lists"))
+        release(spark)
+    lists = reduce(DataFrame.unionByName, parts)
 
     # Each group with the hubs of its lists; each class with the first class of its group.
     stars = lists.where(f"g <> h and {_possible(percent, 'n', 'pos', 'm', 'at')}").select("g", "h").distinct()
     many = classes.where("cls <> g")
     tried = (classes.join(stars, "g").select(F.col("cls").alias("x"), F.col("h").alias("y"))
              .unionByName(many.select(F.col("cls").alias("x"), F.col("g").alias("y")))
-             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().checkpoint())
-    checked = _verify(docs, tried, size, percent)
+             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    checked = _verify(docs, saved(tried, "tried"), size, percent)
     links = checked.where("linked").select("x", "y")
-    label = components(links).checkpoint()
+    release(spark)
+    label = saved(components(links), "label")
     release(spark)
 
     # What is left between components.
     named = (classes.join(label.withColumnRenamed("node", "cls"), "cls", "left")
-             .withColumn("c", F.coalesce("component", "cls")).select("cls", "g", "c", "n").checkpoint())
+             .withColumn("c", F.coalesce("component", "cls")).select("cls", "g", "c", "n"))
+    named = saved(named, "named")
     own = lists.select("token", "g", "pos").join(named, "g")
     open_ = own.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
     bits = sets.select(F.col("row").alias("cls"), "bits")
@@ -221,7 +232,8 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
                   .select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")))
     rest = (across.select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")).unionByName(same_group)
             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-            .join(checked.select("x", "y"), ["x", "y"], "left_anti").checkpoint())
+            .join(checked.select("x", "y"), ["x", "y"], "left_anti"))
+    rest = saved(rest, "rest")
     release(spark)
     late = _verify(docs, rest, size, percent).where("linked").select("x", "y")
     joined = components(links.unionByName(late)).withColumnRenamed("node", "cls")

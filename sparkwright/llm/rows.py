@@ -25,6 +25,19 @@ def numbered(documents: DataFrame, *columns) -> DataFrame:
     return out
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder (compressed) and read from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def small(df: DataFrame, size: str, most: int = 32 << 20) -> DataFrame:
+    """With a broadcast hint if the measured bytes (the sum of the expression ``size``) allow it."""
+    total = df.agg(F.sum(F.expr(size))).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs whose results are checkpointed or written.
 
