@@ -249,7 +249,7 @@ def jaccard_components(documents: DataFrame, size: int = 4, percent: int = 85) -
                     "row", F.coalesce("component", "row").alias("first_row")))
 
 
-def keep_one(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents with all their columns, of each component the one with the smallest doc_id (then the first row)."""
     docs = numbered(documents, F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("doc"))
     found = jaccard_components(documents, size, percent)
