@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +11,23 @@ from pyspark.sql import functions as F
 from sparkwright.session import scratch_path
 
 
+#: Lines of a plan that reads files and changes rows one by one, and expressions that differ each time.
+PLAIN = r"[ +:*()\d-]*(AdaptiveSparkPlan|Project|Filter|ColumnarToRow|FileScan|LocalTableScan|Range)\b"
+RANDOM = r"\b(rand|randn|uuid|shuffle|randstr|uniform|monotonically_increasing_id)\("
+
+
 def numbered(documents: DataFrame, *columns) -> DataFrame:
     """``row`` (a long, unique) and the given columns.
 
-    Operators read their input more than once.  A scan deals its rows the same
-    way each time, so a number by place is stable.  Behind a shuffle it is not:
-    then the rows are written once to the shared folder and read from there.
+    Operators read their input more than once.  A scan of files deals its rows the
+    same way each time, so a number by place is stable.  Behind anything but
+    projections and filters of such a scan (a shuffle, an RDD, a sample, random
+    values) it may not be: then the rows are written once to the shared folder and
+    read from there.
     """
     out = documents.select(F.monotonically_increasing_id().alias("row"), *columns)
-    if "Exchange" in documents._jdf.queryExecution().executedPlan().toString():
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    if not all(re.match(PLAIN, line) for line in plan.splitlines() if line.strip()) or re.search(RANDOM, plan):
         path = scratch_path(documents.sparkSession, "rows")
         out.write.parquet(path)
         out = documents.sparkSession.read.parquet(path)

@@ -1,4 +1,11 @@
-"""Repeated passages by a relative Lempel-Ziv parse over reference blocks.
+"""Repeated passages over indexed reference blocks, in place of a relative Lempel-Ziv parse.
+
+The dealt method parses each document greedily against every reference block.
+Here an equality join of blocks stands for that parse: which factors a greedy
+parse would take follows from which blocks and windows occur elsewhere, and these
+are found by joining hashes.  No document is walked with factors extended one by
+one; that would need the whole index beside each document.  The spans are those
+of all windows that occur elsewhere, exactly.
 
 Blocks.  A document is cut where its content says so: each window of ``window``
 words belongs to the smallest hash among its grams of ``gram`` words (its
@@ -7,9 +14,8 @@ windows have equal anchors, so a block can share a window only with blocks of
 the same anchor, wherever they are.  Anchors that occur once are dropped; the
 others index the reference blocks of the whole corpus.
 
-Factors.  A document is parsed greedily from left to right: a factor goes on
-while each next block occurs elsewhere as a whole.  At the boundaries of factors
-blocks are cut differently from document to document (the neighbours differ);
+Factors.  Neighbouring blocks that occur elsewhere as wholes make up a factor.
+At the boundaries of factors blocks are cut differently from document to document (the neighbours differ);
 there each window is looked up alone among the windows of all blocks with that
 anchor.  Factors hold whole windows, so they have at least ``window`` words, and
 their words are the duplicates.  The result equals that of comparing all
