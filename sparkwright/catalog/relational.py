@@ -389,7 +389,7 @@ def bag_chunk_sizes(spark, sf):
 
 @query("collect_chunks", """
 SELECT o_orderstatus, (rn - 1) // 2000 AS chunk, string_agg(CAST(o_custkey AS VARCHAR), ';' ORDER BY rn) AS customers
-FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey) AS rn FROM orders) GROUP BY 1, 2""", "A19")
+FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey) AS rn FROM orders) GROUP BY 1, 2""", "A18 A19")
 def collect_chunks(spark, sf):
     v = C.collect_chunks(table(spark, sf, "orders"), "o_orderstatus", "o_custkey", 2000, "customers")
     return v.withColumn("customers", F.array_join(F.transform("customers", lambda x: x.cast("string")), ";"))
