@@ -180,12 +180,13 @@ def _pairs(text: bytes, spans, starts, ends, hashes, reach: int) -> list[dict]:
     around = np.stack([padded[:-4], padded[1:-3], padded[3:-1], padded[4:]], axis=1)
     near = mix(around[:, 0] * U64(3) ^ mix(around[:, 1] * U64(5) ^ mix(around[:, 2] * U64(7) ^ mix(around[:, 3] + U64(9)))))
     seen, out = {}, []
-    for kind, a, b in spans:
+    terms, nears = _signed(words), _signed(near)
+    lefts = np.searchsorted(ends[free], [a for _, a, _ in spans], side="right").tolist()
+    rights = np.searchsorted(starts[free], [b for _, _, b in spans], side="left").tolist()
+    for (kind, a, b), left, right in zip(spans, lefts, rights):
         c = entity(kind, text[a:b])
-        left = np.searchsorted(ends[free], a, side="right")
-        right = np.searchsorted(starts[free], b, side="left")
         for i in (*range(max(0, left - reach), left), *range(right, min(len(free), right + reach))):
-            t, where = int(_signed(words[i:i + 1])[0]), int(_signed(near[i:i + 1])[0])
+            t, where = int(terms[i]), int(nears[i])
             places = seen.setdefault((c, t), set())
             if where not in places:
                 out.append({"entity": c, "term": t, "near": where, "is_first": int(not places)})

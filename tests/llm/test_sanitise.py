@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 
 from sparkwright.llm import sanitise as S
 from sparkwright.llm.queries import QUERIES
+from sparkwright.llm.textops import Batch
 from sparkwright.session import table
 
 SCHEMA = "doc_id long, text string"
@@ -69,6 +70,15 @@ def test_long_runs_take_linear_time(text):
     assert all(S.BASE[k] == "ip" for k, _, _ in S.base_spans(text.encode()))
 
 
+def test_many_spans_in_one_text():
+    """Work follows the words and spans, not their product."""
+    text = ("word here a@b.cc " * 100_000).encode()
+    batch = Batch([text], "alnum", lower=True)
+    spans = S.base_spans(text)
+    got = S._pairs(text, spans, batch.starts, batch.ends, batch.hashes, 8)
+    assert len(spans) == 100_000 and {(p["entity"]) for p in got} == {S.entity(0, b"a@b.cc")}
+
+
 def words(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
     return [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)]
