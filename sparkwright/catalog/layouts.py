@@ -128,5 +128,5 @@ def stored_ranges_join(spark, sf):
     """Join of the two tables, range by range."""
     (lines, orders), cuts = _dealt_twice(spark, sf)
     j = B.merge_join(lines, orders.withColumnRenamed("amount", "price"), "orderkey", cuts)
-    return j.groupBy("part", "orderkey").agg(F.count(F.lit(1)).alias("lines"), F.round(F.sum("amount"), 2).alias("quantity"),
-                                             F.max("price").alias("price")).drop("part")
+    return j.groupBy("part", "piece", "orderkey").agg(F.count(F.lit(1)).alias("lines"), F.round(F.sum("amount"), 2).alias("quantity"),
+                                                      F.max("price").alias("price")).drop("part", "piece")

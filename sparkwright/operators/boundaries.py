@@ -24,6 +24,8 @@ from ..functions.state_aggregate import StateAggregate, aggregate_states
 
 #: Keys that a level of the sketch holds for each partition asked for.
 KEYS_PER_PARTITION = 128
+#: Rows of the larger table that one task of a join takes.
+PIECE_ROWS = 1 << 21
 
 
 class QuantileSketch(StateAggregate):
@@ -120,13 +122,15 @@ def partition_number(key: Column | str, cuts: Sequence[Any]) -> Column:
 
 
 def deal(df: DataFrame, key: str, cuts: Sequence[Any], part: str = "part") -> DataFrame:
-    """The rows in the partitions that the cuts give, each sorted by the key; ``part`` is the partition."""
-    return (df.withColumn(part, partition_number(key, cuts)).repartitionById(len(cuts) + 1, F.col(part))
-            .sortWithinPartitions(part, key))
+    """The rows in the partitions that the cuts give, in the order of partition and key; ``part`` is the partition.
+
+    A partition of many rows is the work of several tasks, each with a range of its keys.
+    """
+    return df.withColumn(part, partition_number(key, cuts)).repartitionByRange(part, key).sortWithinPartitions(part, key)
 
 
 def write_dealt(df: DataFrame, key: str, cuts: Sequence[Any], path: str) -> DataFrame:
-    """A sorted table with one folder (``part=i``) a partition."""
+    """A sorted table with one folder (``part=i``) a partition; its files are sorted and hold ranges of its keys."""
     deal(df, key, cuts).write.partitionBy("part").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -136,10 +140,25 @@ def merge_sorted(tables: Sequence[DataFrame], key: str, cuts: Sequence[Any]) ->
     both = tables[0]
     for t in tables[1:]:
         both = both.unionByName(t)
-    return both.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", key)
+    return both.repartitionByRange("part", key).sortWithinPartitions("part", key)
+
+
+def finer(tables: Sequence[DataFrame], key: str, cuts: Sequence[Any]) -> list[Any]:
+    """The cuts and more between them, so that a piece has about ``PIECE_ROWS`` rows of the largest table at most."""
+    rows = [t.count() for t in tables]                       # of written tables: from the files' footers
+    pieces = -(-max(rows) // PIECE_ROWS)
+    if pieces <= len(cuts) + 1:
+        return list(cuts)
+    return sorted({*cuts, *range_cuts(tables[rows.index(max(rows))], key, pieces)})
 
 
 def merge_join(left: DataFrame, right: DataFrame, key: str, cuts: Sequence[Any], how: str = "inner") -> DataFrame:
-    """Join of two tables dealt by the same cuts: partition i meets partition i, nothing is hashed by key."""
-    n = len(cuts) + 1
-    return left.repartitionById(n, F.col("part")).join(right.repartitionById(n, F.col("part")), ["part", key], how)
+    """Join of two tables dealt by the same cuts: partition i meets partition i, nothing is hashed by key.
+
+    Large partitions are cut into pieces, in both tables alike; ``piece`` (before the key) tells an
+    aggregate by key that equal keys are already together.
+    """
+    fine = finer([left, right], key, cuts)
+    left, right = (t.withColumn("piece", partition_number(key, fine)).repartitionById(len(fine) + 1, F.col("piece"))
+                   for t in (left, right))
+    return left.join(right, ["part", "piece", key], how)

@@ -207,3 +207,24 @@ def test_two_tables_one_partition_file(spark):
     assert sorted((r.k, r.v, r.w) for r in j.collect()) == want
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan
+
+
+def test_large_ranges_are_the_work_of_several_tasks(spark, monkeypatch):
+    """A range of a partition file is cut into pieces: no task sorts or joins a whole one."""
+    a = [(i * 7 % 5000, i) for i in range(6000)] + [(None, -1)]
+    b = [(k, -k) for k in range(0, 9000, 2)]
+    da, db = (spark.createDataFrame(x, "k long, v long").repartition(3) for x in (a, b))
+    cuts = B.range_cuts(da, "k", 2)
+    ta, tb = (B.write_dealt(d, "k", cuts, scratch_path(spark, "d")) for d in (da, db))
+    want = sorted((k, v, -k) for k, v in a if k is not None and k % 2 == 0)
+    for rows in (500, 1 << 21):
+        monkeypatch.setattr(B, "PIECE_ROWS", rows)
+        j = B.merge_join(ta, tb.withColumnRenamed("v", "w"), "k", cuts)
+        assert sorted((r.k, r.v, r.w) for r in j.collect()) == want
+        most = j.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most < 500 if rows == 500 else most > 1000
+    assert len(B.finer([ta, tb], "k", cuts)) == len(cuts)
+    dealt = B.deal(da, "k", cuts)
+    assert "rangepartitioning" in dealt._jdf.queryExecution().executedPlan().toString()
+    check = O.order_check(B.merge_sorted([ta, tb], "k", cuts), ["k"]).first()
+    assert (check["rows"], check.inversions) == (6001 + 4500, 0)
