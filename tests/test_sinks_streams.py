@@ -140,6 +140,21 @@ def test_show_partitions_and_hot_key_files(spark, tmp_path):
     assert sorted(r[0] for r in K.list_partitions(spark, out, ["k"]).collect()) == ["k=0", "k=1", "k=2"]
 
 
+def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
+    out = str(tmp_path / "many")
+    K.by_key(spark.range(200).select((F.col("id") % 100).alias("k"), "id"), out, ["k"])
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    try:
+        found = spark.read.parquet(out)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert tasks and max(tasks) <= 64
+    assert found.count() == 200 and found.select("k").distinct().count() == 100
+
+
 def test_shared_folder_is_needed_on_a_cluster():
     from sparkwright.session import is_local, shared_dir
 
